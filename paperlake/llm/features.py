@@ -3,8 +3,8 @@
 Words are maximal runs of letters and digits of the lower-cased text. A text becomes
 * ``cls``: hash of its word sequence, equal for texts that differ only in case, spacing or signs,
 * ``grams``: sorted distinct 32-bit hashes of its sequences of three words (exact comparison),
-* ``passages``: for winnowed positions the hash ``key`` of six words, the hash ``wide`` of twelve
-  words from there, and ``ctx``, a 23-bit simhash of the four words before and after.
+* ``passages``: for winnowed positions the hash ``key`` of eight words, the hash ``wide`` of twelve
+  words from there, and ``ctx``, a 23-bit simhash of the five words before and after.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 
 WORD = re.compile(r"[^\W_]+")
-GRAM, PASSAGE, WIDE, SIDE, WINDOW, BITS = 3, 6, 12, 4, 10, 23
+GRAM, PASSAGE, WIDE, SIDE, WINDOW, BITS, SHORT = 3, 8, 12, 5, 10, 23, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
                  0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0xAAAAAAAAAAAAAAAB, 0xBF58476D1CE4E5B9], dtype=np.uint64)
@@ -90,12 +90,10 @@ def batch_features(texts: list[str | None], passages: bool = True) -> dict:
         for lo in range(0, len(at), 200_000):
             part = at[lo : lo + 200_000]
             pick[part + view[part].argmin(axis=1)] = True
-    short = np.flatnonzero((lens >= GRAM) & (lens < PASSAGE + WINDOW - 1))  # fewer positions than a window: all of them, or the whole text
-    for i in short:
-        if lens[i] >= PASSAGE:
-            pick[starts[i] : ends[i] - PASSAGE + 1] = True
-        else:
-            pick[starts[i]] = True
+    if total:  # of short texts all positions count, of the shortest the whole text
+        n = lens[row]
+        pick |= (n < SHORT) & (left >= PASSAGE)
+        pick |= (n < PASSAGE) & (n >= GRAM) & (pos == 0)
     p = np.flatnonzero(pick)
     prow = row[p]
     pkey = np.where(valid[p], key[p], cls[prow]) if len(p) else key[:0]

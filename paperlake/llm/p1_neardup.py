@@ -1,13 +1,14 @@
 """Problem 1: groups of texts that are the same but for small edits, insertions or reordering.
 
 Anchor-point covering. Every text gives fingerprints of passages (``features.py``); passages that
-share six words are compared by a 23-bit fingerprint of the words around them: each fingerprint goes
+share eight words are compared by a 23-bit fingerprint of the words around them: each fingerprint goes
 to every anchor within covering radius plus threshold (``covering.py``) and is compared at the anchors.
 Pairs of texts that meet are then checked exactly on their sets of three-word sequences.
 
-A passage in more than HOT texts would give too many pairs; its rows are regrouped by twelve words,
-and passages that are still that frequent by min-hashes of the whole text, so that texts which share
-nothing rarer still meet. No group is capped.
+A passage in more than HOT texts (boilerplate) would give too many pairs of texts that share nothing
+else. If a near pair shares only such passages, they make up much of the smaller text; so their rows are
+regrouped, and only texts with at least HEAVY of their passages hot are compared there, with all others.
+No group is capped.
 
 Null, empty and blank texts, and texts under three words, are in no pair. Rows repeated with the same
 id count once. Texts equal as word sequences form one class; all pairs of its ids come out up to
@@ -25,7 +26,7 @@ from .covering import near_pairs
 from .features import features
 from .work import Work
 
-HOT, CLASS_PAIRS, SIGNATURES = 3000, 64, 8
+HOT, HEAVY, CLASS_PAIRS = 100, 0.5, 64
 _MEET = "kind int, a bigint, b bigint, n int"
 
 
@@ -33,13 +34,16 @@ def _emit(kind, a, b, n):
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["kind", "a", "b", "n"])
 
 
-def _compare(k, cls, ctx):
-    """Pairs of classes that meet at an anchor, with the number of meetings."""
+def _compare(k, cls, ctx, heavy=None):
+    """Pairs of classes that meet at an anchor, with the number of meetings; with heavy only pairs of which
+    one is heavy."""
     order = np.lexsort((ctx, cls, k))
     k, cls, ctx = k[order], cls[order], ctx[order]
+    heavy = None if heavy is None else heavy[order] > 0
     keep = np.ones(len(k), bool)
     keep[1:] = (k[1:] != k[:-1]) | (cls[1:] != cls[:-1]) | (ctx[1:] != ctx[:-1])
     k, cls, ctx = k[keep], cls[keep], ctx[keep]
+    heavy = None if heavy is None else heavy[keep]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     group = np.cumsum(new) - 1
@@ -47,8 +51,8 @@ def _compare(k, cls, ctx):
     if not many.any():
         return None
     group, cls, ctx = group[many], cls[many], ctx[many]
-    i, j = near_pairs(group, ctx)
-    a, b = cls[i], cls[j]
+    i, j = near_pairs(group, ctx, home=None if heavy is None else heavy[many])
+    a, b = np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
     ok = a < b
     if not ok.any():
         return None
@@ -58,7 +62,7 @@ def _compare(k, cls, ctx):
 
 def _meet(hot: int, last: bool):
     """Maps batches sorted by k to pairs (kind 0), and rows of keys with more than hot rows to kind 1, for
-    the next, longer key; the last stage compares groups of any size."""
+    the next, longer key; the last stage, which has the flag heavy as wide, compares groups of any size."""
 
     def run(batches):
         held: list[tuple] = []
@@ -81,7 +85,7 @@ def _meet(hot: int, last: bool):
                 if big.any():
                     out.append(_emit(1, wide[big], cls[big], ctx[big]))
                 if not big.all():
-                    got = _compare(k[~big], cls[~big], ctx[~big])
+                    got = _compare(k[~big], cls[~big], ctx[~big], wide[~big] if last else None)
                     if got:
                         out.append(_emit(0, *got))
             if len(rest[0]) > hot and not last:  # streamed on: the group isn't kept in memory
@@ -106,20 +110,20 @@ def _meet(hot: int, last: bool):
 
 
 def meetings(lm: DataFrame, work: Work, name: str) -> DataFrame:
-    """lm (k, wide, cls, ctx), one row per passage -> (a, b, n): classes that meet at n anchors."""
+    """lm (k, wide, cls, ctx, passages), one row per passage, with the number of passages of the text
+    -> (a, b, n): classes that meet at n anchors."""
 
     def stage(df, last, label):
-        got = df.repartition("k").sortWithinPartitions("k").mapInArrow(_meet(HOT, last), _MEET)
+        got = df.select("k", "wide", "cls", "ctx").repartition("k").sortWithinPartitions("k").mapInArrow(_meet(HOT, last), _MEET)
         return work.table(got, f"{name}-{label}")
 
     first = stage(lm, False, "meet1")
-    wider = first.where("kind = 1").select(F.col("a").alias("k"), F.col("a").alias("wide"), F.col("b").alias("cls"), F.col("n").alias("ctx"))
-    second = stage(wider, False, "meet2")
-    hot = second.where("kind = 1").select(F.col("b").alias("cls"), F.col("a").alias("wide")).distinct()
-    signed = hot.groupBy("cls").agg(*[F.min(F.xxhash64(F.lit(s), "wide")).alias(f"s{s}") for s in range(SIGNATURES)])
-    signed = signed.select("cls", F.explode(F.array(*[F.xxhash64(F.lit(s), f"s{s}") for s in range(SIGNATURES)])).alias("k"))
-    third = stage(signed.select("k", F.col("k").alias("wide"), "cls", F.lit(0).alias("ctx")), True, "meet3")
-    out = first.where("kind = 0").unionByName(second.where("kind = 0")).unionByName(third.where("kind = 0"))
+    hot = first.where("kind = 1").select(F.col("a").alias("k"), F.col("b").alias("cls"), F.col("n").alias("ctx"))
+    share = hot.groupBy("cls").agg(F.count("*").alias("hot"))
+    size = lm.select("cls", "passages").distinct()
+    share = share.join(size, "cls").select("cls", (F.col("hot") >= HEAVY * F.col("passages")).cast("bigint").alias("wide"))
+    second = stage(hot.join(share, "cls"), True, "meet2")
+    out = first.where("kind = 0").unionByName(second)
     return out.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -134,7 +138,7 @@ def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl",
 
 def near_classes(f: DataFrame, work: Work) -> DataFrame:
     """Exactly near pairs (cls_a, cls_b) of different classes among the featured texts."""
-    lm = f.where("n_words >= 3").select("cls", F.inline("passages")).select(F.col("key").alias("k"), "wide", "cls", "ctx")
+    lm = f.where("n_words >= 3").select("cls", F.size("passages").alias("of"), F.inline("passages")).select(F.col("key").alias("k"), "wide", "cls", "ctx", F.col("of").alias("passages"))
     pairs = work.table(meetings(lm, work, "p1"), "pairs")
     return checked(pairs, f, work)
 
