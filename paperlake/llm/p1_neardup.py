@@ -26,7 +26,7 @@ from .covering import near_pairs
 from .features import features
 from .work import Work
 
-HOT, HEAVY, CLASS_PAIRS = 100, 0.4, 64
+HOT, HEAVY, CLASS_PAIRS = 100, 0.3, 64
 _MEET = "kind int, a bigint, b bigint, n int"
 
 

@@ -6,6 +6,8 @@ import importlib
 
 NAMES = {
     "p1_neardup": ["p1_found"],
+    "p2_scans": ["p2_found", "p2_repaired"],
+    "p7_knn": ["p7_found"],
 }
 
 
