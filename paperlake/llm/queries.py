@@ -7,6 +7,7 @@ import importlib
 NAMES = {
     "p1_neardup": ["p1_found"],
     "p2_scans": ["p2_found", "p2_repaired"],
+    "p3_markup": ["p3_found", "p3_converted"],
     "p7_knn": ["p7_found"],
 }
 
