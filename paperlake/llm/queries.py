@@ -10,6 +10,7 @@ NAMES = {
     "p3_markup": ["p3_found", "p3_converted"],
     "p5_quality": ["p5_found", "p5_stats"],
     "p7_knn": ["p7_found"],
+    "p10_personal": ["p10_found", "p10_masked"],
 }
 
 
