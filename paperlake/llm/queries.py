@@ -8,6 +8,7 @@ NAMES = {
     "p1_neardup": ["p1_found"],
     "p2_scans": ["p2_found", "p2_repaired"],
     "p3_markup": ["p3_found", "p3_converted"],
+    "p4_splits": ["p4_found", "p4_splits"],
     "p5_quality": ["p5_found", "p5_stats"],
     "p7_knn": ["p7_found"],
     "p10_personal": ["p10_found", "p10_masked"],
