@@ -10,6 +10,7 @@ NAMES = {
     "p3_markup": ["p3_found", "p3_converted"],
     "p4_splits": ["p4_found", "p4_splits"],
     "p5_quality": ["p5_found", "p5_stats"],
+    "p6_history": ["p6_found"],
     "p7_knn": ["p7_found"],
     "p10_personal": ["p10_found", "p10_masked"],
 }
