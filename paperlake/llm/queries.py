@@ -12,6 +12,8 @@ NAMES = {
     "p5_quality": ["p5_found", "p5_stats"],
     "p6_history": ["p6_found"],
     "p7_knn": ["p7_found"],
+    "p8_tokens": ["p8_ids", "p8_lengths"],
+    "p9_mixture": ["p9_mix", "p9_shares"],
     "p10_personal": ["p10_found", "p10_masked"],
 }
 
