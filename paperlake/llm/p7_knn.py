@@ -237,8 +237,11 @@ def neighbours(vectors: DataFrame, rows: int, k: int = K, work: Work | None = No
     spark = vectors.sparkSession
     work = work or Work(spark, "p7")
     cells = int(min(MAX_CELLS, max(1, rows // CELL_ROWS)))
-    # the centres: vectors with the least hashes, a bounded sample that doesn't depend on the partitions
-    few = vectors.select("v", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(max(cells, 500)).select("v").toArrow().column(0).combine_chunks()
+    # the centres: vectors with small hashes, a bounded sample that doesn't depend on the partitions
+    want = max(cells, 500)
+    share = min(1.0, 1.3 * want / max(1, rows))
+    few = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["id"]).limit(2 * want).toArrow()
+    few = few.sort_by("id").slice(0, want).column("v").combine_chunks()
     if not len(few):
         return vectors.select("id", F.col("id").alias("other"), F.lit(0.0).alias("cosine"), F.lit(0).alias("rank")).limit(0)
     sample = _matrix(few) @ rotation()
