@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .plans import corpus, joins, retrieval, texts, verify  # noqa: F401  (each registers its queries)
+from .plans.registry import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
