@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[\s  -   　]+"
+WHITE = r"\s\u000b\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = f"[{WHITE}]+"
 #: Ligatures and their letters.
 LIGATURES = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")]
 
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, r"^[\s  -   　]+|[\s  -   　]+$", "")
+    return F.regexp_replace(c, rf"^[{WHITE}]+|[{WHITE}]+$", "")
 
 
 def squeeze(c: Column) -> Column:
@@ -24,10 +25,10 @@ def lines_normal(c: Column) -> Column:
     """Line ends LF, no-break and thin spaces blank, no NUL, byte order mark or soft hyphen, ligatures spelled
     out, blanks squeezed, at most one empty line."""
     x = F.regexp_replace(c, "\r\n?", "\n")
-    x = F.regexp_replace(x, "[\x00­﻿]", "")
+    x = F.regexp_replace(x, "[\x00\u00ad\ufeff]", "")
     for a, b in LIGATURES:
         x = F.replace(x, F.lit(a), F.lit(b))
-    x = F.regexp_replace(x, "[ \t   ]+", " ")
+    x = F.regexp_replace(x, "[ \t\u00a0\u2009\u202f]+", " ")
     x = F.regexp_replace(x, "\n{3,}", "\n\n")
     return F.regexp_replace(x, r"^\s+|\s+$", "")
 
