@@ -26,7 +26,7 @@ NO_DOI = ["", "n/a", "na", "none", "null", "unknown", "-", "tbd"]
 
 def author_key(a: Column) -> Column:
     """Given and family name without case, order, spacing and footnote marks; null for placeholders."""
-    x = F.lower(F.trim(F.regexp_replace(a, r"[\s   ]+", " ")))
+    x = F.lower(F.trim(F.regexp_replace(a, r"[\s\u00a0\u2007\u202f]+", " ")))
     x = F.regexp_replace(x, r"\s*(?:\(\w{1,2}\)|\[\w{1,2}\]|[*†‡§¶#¹²³⁰-⁹]+|[\s,]\d{1,2}(?:,\d{1,2})*)+\s*$", "")
     none = x.isNull() | x.isin(NO_AUTHOR) | (F.length(x) < 2) | ~F.contains(F.translate(x, ",", " "), F.lit(" "))
     parts = F.array_sort(F.filter(F.split(F.translate(x, ",", " "), " +"), lambda p: F.length(p) > 0))
@@ -42,7 +42,7 @@ def doi_key(d: Column) -> Column:
 def source_key(source: Column, source_id: Column) -> Column:
     """source and source_id without version, case, spaces and a leading name of the source."""
     s = F.lower(F.regexp_replace(source, r"\s+", ""))
-    x = F.lower(F.regexp_replace(source_id, r"[\s ]+", ""))
+    x = F.lower(F.regexp_replace(source_id, r"[\s\u00a0]+", ""))
     x = F.when(F.startswith(x, s), F.regexp_replace(F.substr(x, F.length(s) + 1), r"^[:\-_/]+", "")).otherwise(x)
     x = F.regexp_replace(x, r"v\d+$", "")
     return F.when((F.length(x) > 0) & (F.length(s) > 0), F.concat(s, F.lit("\x01"), x))

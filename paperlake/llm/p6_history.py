@@ -27,7 +27,8 @@ from .p1_neardup import featured
 from .p4_splits import source_key
 from .work import Work
 
-BOUND = 0.15  # of the winnowed passages; far below the exact bound of 0.6, as passages are longer than sequences
+BOUND = 0.2  # of the winnowed passages; far below the exact bound of 0.6, as passages are longer than sequences
+SEEN = 0.1  # the least share of the smaller text's passages that must have met in the probed cells
 
 
 def hash_key(c: Column) -> Column:
@@ -41,30 +42,37 @@ def record_key(source: Column, source_id: Column) -> Column:
 
 
 def prepared(df: DataFrame, ident: str, work: Work, name: str) -> DataFrame:
-    """Written table: who, n_words, cls, grams, passages, hash, record."""
+    """Written table: who, hash, record, n_words, cls, grams, passages (their keys)."""
     x = df.where(F.col(ident).isNotNull()).select(
         F.col(ident).alias("who"),
         hash_key(F.col("content_hash")).alias("hash"),
         record_key(F.col("source"), F.col("source_id")).alias("record"),
         F.col("clean_content").alias("text"),
     )
-    return featured(x, work, name, keep=("who", "hash", "record"))
+    return featured(x, work, name, keep=("who", "hash", "record"), slim=True)
+
+
+def coordinates(f: DataFrame) -> DataFrame:
+    """(cls, key, n): the passages of each text and how many it has."""
+    return f.where("n_words >= 3").select("cls", F.explode("passages").alias("key"), F.size("passages").alias("n")).distinct()
 
 
 def probed(queries: DataFrame, cells: DataFrame) -> DataFrame:
-    """queries (cls, key) and cells (cls, key) -> (a, b): query and text that meet in a probed cell.
+    """queries and cells (cls, key, n) -> (a, b): query and text that meet often enough in the probed cells.
 
     Cells are probed by rising size until no nearer match is possible."""
     size = cells.groupBy("key").agg(F.count("*").alias("size"))
-    q = queries.distinct().join(size, "key", "left").withColumn("size", F.coalesce("size", F.lit(0)))
-    w = Window.partitionBy("cls")
-    q = q.withColumn("rank", F.row_number().over(w.orderBy("size", "key"))).withColumn("n", F.count("*").over(w))
+    q = queries.join(size, "key", "left").withColumn("size", F.coalesce("size", F.lit(0)))
+    q = q.withColumn("rank", F.row_number().over(Window.partitionBy("cls").orderBy("size", "key")))
     q = q.where((F.col("size") > 0) & (F.col("rank") <= F.ceil((1 - BOUND) * F.col("n"))))
-    return q.select(F.col("cls").alias("a"), "key").join(cells.select(F.col("cls").alias("b"), "key"), "key").where("a <> b").select("a", "b").distinct()
+    met = q.select(F.col("cls").alias("a"), "key", F.col("n").alias("na")).join(cells.select(F.col("cls").alias("b"), "key", F.col("n").alias("nb")), "key").where("a <> b")
+    met = met.groupBy("a", "b").agg(F.count("*").alias("h"), F.min("na").alias("na"), F.min("nb").alias("nb"))
+    return met.where(F.col("h") >= SEEN * F.least("na", "nb")).select("a", "b")
 
 
 def near(pairs: DataFrame, f: DataFrame, work: Work, name: str) -> DataFrame:
     """(a, b) of which the exact overlap is at least 0.6 of either vector."""
+    pairs = work.table(pairs, f"{name}-met")
     need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     grams = f.where("n_words >= 3").select("cls", "grams").join(need, "cls", "left_semi").dropDuplicates(["cls"])
     both = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
@@ -101,9 +109,8 @@ def judged(core: DataFrame, cand: DataFrame, order: DataFrame, work: Work) -> tu
     one = cand.dropDuplicates(["who"]).select("who", "hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")).alias("cls"))
     one = work.table(one.join(order, "who"), "one")
     texts = cand.where("n_words >= 3").select("cls", "grams", "passages", "n_words").unionByName(core.where("n_words >= 3").select("cls", "grams", "passages", "n_words"))
-    queries = cand.where("n_words >= 3").select("cls", F.explode("passages.key").alias("key"))
-    stored = core.where("n_words >= 3").select("cls", F.explode("passages.key").alias("key"))
-    cells = work.table(stored.unionByName(queries).distinct(), "cells")
+    queries = coordinates(cand)
+    cells = work.table(coordinates(core).unionByName(queries).distinct(), "cells")
     met = probed(queries, cells)
     met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = near(met, texts, work, "near")
@@ -154,7 +161,7 @@ class History:
         f = f.join(ids, "who", "left_semi") if ids is not None else f
         text = f.where("n_words >= 3")
         parts = {
-            "cells": text.select("cls", F.explode("passages.key").alias("key")).distinct().repartitionByRange(8, "key").sortWithinPartitions("key"),
+            "cells": coordinates(text).repartitionByRange(8, "key").sortWithinPartitions("key"),
             "vectors": text.select("cls", "grams").dropDuplicates(["cls"]).repartitionByRange(8, "cls").sortWithinPartitions("cls"),
             "keys": f.select(F.explode(F.array("hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")))).alias("tie")).where("tie is not null").distinct(),
         }
@@ -170,9 +177,9 @@ class History:
         accepted ones are appended."""
         work = Work(self.spark, "p6-batch")
         cand = prepared(batch, "id", work, "rows")
-        queries = cand.where("n_words >= 3").select("cls", F.explode("passages.key").alias("key")).distinct()
+        queries = coordinates(cand)
         mine = self._read("cells").join(queries.select("key").distinct(), "key", "left_semi")
-        cells = work.table(mine.select("cls", "key").unionByName(queries).distinct(), "cells")
+        cells = work.table(mine.select("cls", "key", "n").unionByName(queries).distinct(), "cells")
         met = probed(queries, cells).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         met = work.table(met, "met")
         need = met.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
