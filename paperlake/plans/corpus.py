@@ -67,3 +67,12 @@ def html_block_stats(spark, sf):
     """Blocks by type of the documents stored as HTML."""
     d = documents(spark, sf).where(F.col("raw_content").rlike("(?i)</(?:p|h[1-6]|li|div)>")).select("id", "raw_content")
     return html_blocks(d, "id", "raw_content").groupBy("id", "type").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query()
+def html_cleaned(spark, sf):
+    """Clean text of the documents stored as HTML: hash and numbers of blocks before and after."""
+    from ..operators.cleaning import clean
+
+    d = documents(spark, sf).where(F.col("raw_content").rlike("(?i)</(?:p|h[1-6]|li|div)>")).select("id", "raw_content")
+    return clean(html_blocks(d, "id", "raw_content"), "id", False).select("id", "content_hash", "blocks_before", "blocks_after")
