@@ -10,6 +10,9 @@ else. If a near pair shares only such passages, they make up much of the smaller
 regrouped, and only texts with at least HEAVY of their passages hot are compared there, with all others.
 No group is capped.
 
+Texts under SHORT_TEXT words have too few passages to be sure of a meeting; they are looked up by their
+rarest three-word sequences among those of all texts (so many that a near text must have one of them).
+
 Null, empty and blank texts, and texts under three words, are in no pair. Rows repeated with the same
 id count once. Texts equal as word sequences form one class; all pairs of its ids come out up to
 CLASS_PAIRS copies, beyond that each copy is paired with the least id (linked, not multiplied).
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .covering import near_pairs
@@ -27,6 +30,7 @@ from .features import features
 from .work import Work
 
 HOT, HEAVY, CLASS_PAIRS = 100, 0.3, 64
+SHORT_TEXT = 32  # words under which a text has too few passages
 _MEET = "kind int, a bigint, b bigint, n int"
 
 
@@ -139,10 +143,28 @@ def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl",
     return work.table(f, name)
 
 
+def short_pairs(f: DataFrame, work: Work) -> DataFrame | None:
+    """(a, b): short texts and all texts that have one of their rarest sequences; None if no text is short."""
+    short = f.where(f"n_words >= 3 and n_words < {SHORT_TEXT}").select("cls", "grams").dropDuplicates(["cls"])
+    short = work.table(short.select("cls", F.size("grams").alias("n"), F.explode("grams").alias("g")), "short")
+    if not short.limit(1).count():
+        return None
+    all_grams = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g")).join(short.select("g").distinct(), "g", "left_semi")
+    freq = all_grams.groupBy("g").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "g"))
+    # of n sequences 0.6 n must be shared, so that one of the n - ceil(0.6 n) + 1 rarest is
+    rare = short.join(freq, "g").withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * 6 / 10) + 1)
+    rare = work.table(rare.select("g", F.col("cls").alias("s")), "rare")
+    met = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g")).join(rare, "g").where("cls <> s")
+    return met.select(F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
+
+
 def near_classes(f: DataFrame, work: Work) -> DataFrame:
     """Exactly near pairs (cls_a, cls_b) of different classes among the featured texts."""
     lm = f.where("n_words >= 3").select("cls", F.size("passages").alias("of"), F.inline("passages")).select(F.col("key").alias("k"), "wide", "cls", "ctx", F.col("of").alias("passages"))
-    pairs = work.table(meetings(lm, work, "p1"), "pairs")
+    pairs = meetings(lm, work, "p1").select("a", "b")
+    short = short_pairs(f, work)
+    pairs = work.table(pairs if short is None else pairs.unionByName(short).distinct(), "pairs")
     return checked(pairs, f, work)
 
 

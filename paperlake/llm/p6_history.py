@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .p1_neardup import featured
+from .p1_neardup import featured, short_pairs
 from .p4_splits import source_key
 from .work import Work
 
@@ -112,6 +112,8 @@ def judged(core: DataFrame, cand: DataFrame, order: DataFrame, work: Work) -> tu
     queries = coordinates(cand)
     cells = work.table(coordinates(core).unionByName(queries).distinct(), "cells")
     met = probed(queries, cells)
+    short = short_pairs(texts, work)  # texts of too few passages for the cells
+    met = met if short is None else met.unionByName(short)
     met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = near(met, texts, work, "near")
     # classes of candidates tied to each other: each near pair is a tie of its own, each class, hash and record one
