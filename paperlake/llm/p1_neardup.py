@@ -145,17 +145,18 @@ def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl",
 
 def short_pairs(f: DataFrame, work: Work) -> DataFrame | None:
     """(a, b): short texts and all texts that have one of their rarest sequences; None if no text is short."""
-    short = f.where(f"n_words >= 3 and n_words < {SHORT_TEXT}").select("cls", "grams").dropDuplicates(["cls"])
-    short = work.table(short.select("cls", F.size("grams").alias("n"), F.explode("grams").alias("g")), "short")
+    scope = ["tbl"] if "tbl" in f.columns else []
+    short = f.where(f"n_words >= 3 and n_words < {SHORT_TEXT}").select("cls", "grams", *scope).dropDuplicates(["cls"])
+    short = work.table(short.select("cls", F.size("grams").alias("n"), F.explode("grams").alias("g"), *scope), "short")
     if not short.limit(1).count():
         return None
-    all_grams = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g")).join(short.select("g").distinct(), "g", "left_semi")
-    freq = all_grams.groupBy("g").agg(F.count("*").alias("df"))
+    all_grams = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g"), *scope).join(short.select("g", *scope).distinct(), ["g", *scope], "left_semi")
+    freq = all_grams.groupBy("g", *scope).agg(F.count("*").alias("df"))
     rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "g"))
     # of n sequences 0.6 n must be shared, so that one of the n - ceil(0.6 n) + 1 rarest is
-    rare = short.join(freq, "g").withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * 6 / 10) + 1)
-    rare = work.table(rare.select("g", F.col("cls").alias("s")), "rare")
-    met = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g")).join(rare, "g").where("cls <> s")
+    rare = short.join(freq, ["g", *scope]).withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * 6 / 10) + 1)
+    rare = work.table(rare.select("g", F.col("cls").alias("s"), *scope), "rare")
+    met = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g"), *scope).join(rare, ["g", *scope]).where("cls <> s")
     return met.select(F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
 
 
