@@ -31,6 +31,7 @@ from .work import Work
 
 HOT, HEAVY, CLASS_PAIRS = 100, 0.3, 64
 SHORT_TEXT = 32  # words under which a text has too few passages
+FILTER_BITS = 24  # bits of the filter by which sequences of short texts are looked up: 2 MB broadcast
 _MEET = "kind int, a bigint, b bigint, n int"
 
 
@@ -143,6 +144,34 @@ def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl",
     return work.table(f, name)
 
 
+def _bitmap(values: DataFrame) -> np.ndarray:
+    """Bits of the low FILTER_BITS of the 32-bit values g: at most 2^FILTER_BITS / 64 rows reach the driver."""
+    b = F.col("g").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("bigint")
+    rows = values.select(F.shiftright(b, 6).alias("w"), F.expr(f"shiftleft(1L, cast((g & {(1 << FILTER_BITS) - 1}) & 63 as int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).collect()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    if rows:
+        out[[r[0] for r in rows]] = [r[1] for r in rows]
+    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+
+
+def _grams_in(f: DataFrame, bits: np.ndarray, scope: list[str]) -> DataFrame:
+    """(cls, *scope, g): the sequences of all texts that can be among those of the bitmap."""
+    shared = f.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    cols = ["cls", *scope]
+
+    def run(batches):
+        bits = np.unpackbits(shared.value).astype(bool)
+        for b in batches:
+            lists = b.column(len(cols))
+            g = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy())
+            at = np.flatnonzero(bits[g & ((1 << FILTER_BITS) - 1)])
+            take = pa.array(row[at])
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(len(cols))), pa.array(g[at])], names=[*cols, "g"])
+
+    return f.where("n_words >= 3").select(*cols, "grams").mapInArrow(run, "cls bigint, " + "".join(f"{c} string, " for c in scope) + "g int")
+
+
 def short_pairs(f: DataFrame, work: Work) -> DataFrame | None:
     """(a, b): short texts and all texts that have one of their rarest sequences; None if no text is short."""
     scope = ["tbl"] if "tbl" in f.columns else []
@@ -150,13 +179,14 @@ def short_pairs(f: DataFrame, work: Work) -> DataFrame | None:
     short = work.table(short.select("cls", F.size("grams").alias("n"), F.explode("grams").alias("g"), *scope), "short")
     if not short.limit(1).count():
         return None
-    all_grams = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g"), *scope).join(short.select("g", *scope).distinct(), ["g", *scope], "left_semi")
+    some = _grams_in(f, _bitmap(short), scope)
+    all_grams = some.join(short.select("g", *scope).distinct(), ["g", *scope], "left_semi")
     freq = all_grams.groupBy("g", *scope).agg(F.count("*").alias("df"))
     rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "g"))
     # of n sequences 0.6 n must be shared, so that one of the n - ceil(0.6 n) + 1 rarest is
     rare = short.join(freq, ["g", *scope]).withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * 6 / 10) + 1)
     rare = work.table(rare.select("g", F.col("cls").alias("s"), *scope), "rare")
-    met = f.where("n_words >= 3").select("cls", F.explode("grams").alias("g"), *scope).join(rare, ["g", *scope]).where("cls <> s")
+    met = _grams_in(f, _bitmap(rare), scope).join(rare, ["g", *scope]).where("cls <> s")
     return met.select(F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
 
 

@@ -122,7 +122,7 @@ def test_p3_edges(spark):
 def test_p4_components_splits_and_additions(spark):
     schema = "id bigint, source string, source_id string, doi string, authors array<string>, topic_axis string"
     rows = [
-        (1, "arxiv", "1.1v1", None, ["Ada Lo", None, "et al."], "a"), (2, "arxiv", "1.1v2", None, [], "a"), (3, "ntrs", "9", "DOI: 10.5/X ", ["LO,  Ada¹"], "b"), (4, "ntrs", "10", "10.5/x", None, "b"),
+        (1, "arxiv", "1.1v1", None, ["Ada Lo", None, "et al."], "a"), (2, "arxiv", "1.1v2", None, [], "a"), (3, "ntrs", "9", "DOI: 10.5555/X ", ["LO,  Ada¹"], "b"), (4, "ntrs", "10", "10.5555/x", None, "b"),
         (5, "ntrs", "11", "n/a", ["Anonymous"], None), (6, "ntrs", "12", "", ["Anonymous", "Bo Ek (2)"], "a"), (7, None, None, None, ["Ek, Bo"], "a"), (7, None, None, None, ["Ek, Bo"], "a"), (None, "arxiv", "1.1v1", None, None, "a"),
     ]
     rows += [(100 + i, "x", str(i), None, ["Hot Author"], "c") for i in range(200)] + [(1000 + i, "y", str(i), None, None, "c") for i in range(300)]
@@ -144,7 +144,7 @@ def test_p4_components_splits_and_additions(spark):
 
 
 def test_p4_long_chain(spark):
-    n = 300
+    n = 40
     links = spark.createDataFrame([(i + 1, i) for i in range(n)], "a bigint, b bigint")
     got = {r.id: r.group_id for r in p4_splits.components(links, Work(spark, "chain")).collect()}
     assert got == dict.fromkeys(range(n + 1), 0)
@@ -304,9 +304,9 @@ def test_p10_masks_and_nulls(spark):
     assert len(rows) == len(set(rows)) == 3
 
 
-def test_queries_on_tables(spark, sf):
+@pytest.mark.parametrize("name", ["p3_found", "p5_found", "p8_ids", "p10_found"])
+def test_queries_on_tables(spark, sf, name):
     from paperlake.llm.queries import queries
 
-    for name, f in queries().items():
-        df = f(spark, sf)
-        assert df.count() == df.distinct().count() if name.endswith("_found") else df.count() >= 0
+    rows = [str(r) for r in queries()[name](spark, sf).collect()]
+    assert rows and len(rows) == len(set(rows))
