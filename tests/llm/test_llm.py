@@ -186,7 +186,7 @@ def brute_history(core, cand):
         add(s, i, h, t)
     for c, s, i, h, t in sorted(set(cand)):
         why = set()
-        if h and h.lower().strip() in have_h:
+        if h and h.strip() and h.lower().strip() in have_h:
             why.add("content_hash")
         if key(s, i) and key(s, i) in have_s:
             why.add("source_id")
