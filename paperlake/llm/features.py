@@ -115,19 +115,20 @@ def batch_features(texts: list[str | None], passages: bool = True) -> dict:
 FEATURES = "n_words int, cls bigint, grams array<int>, passages array<struct<key:bigint,wide:bigint,ctx:int>>"
 
 
-def features(df, keep: list[str], text: str):
-    """keep columns of df plus FEATURES of column text."""
+def features(df, keep: list[str], text: str, passages: bool = True):
+    """keep columns of df plus FEATURES of column text; without passages only n_words, cls and grams."""
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
+    last = ["passages"] if passages else []
 
     def run(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 2000):  # bounds the memory of a batch of long texts
                 part = b.slice(lo, 2000)
-                f = batch_features(part.column(len(keep)).to_pylist())
+                f = batch_features(part.column(len(keep)).to_pylist(), passages)
                 cols = [part.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
-                    [*cols, pa.array(f["n_words"].astype(np.int32)), pa.array(f["cls"]), f["grams"], f["passages"]],
-                    names=[*keep, "n_words", "cls", "grams", "passages"],
+                    [*cols, pa.array(f["n_words"].astype(np.int32)), pa.array(f["cls"]), f["grams"], *(f[c] for c in last)],
+                    names=[*keep, "n_words", "cls", "grams", *last],
                 )
 
-    return df.select(*keep, text).mapInArrow(run, f"{fields}, {FEATURES}")
+    return df.select(*keep, text).mapInArrow(run, f"{fields}, {FEATURES if passages else FEATURES.rsplit(', passages', 1)[0]}")

@@ -132,14 +132,13 @@ def meetings(lm: DataFrame, work: Work, name: str) -> DataFrame:
     return out.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl", "id"), slim: bool = False) -> DataFrame:
-    """texts with columns keep and text -> written table with cls (per tbl), n_words, grams, passages; slim: of the
-    passages only the distinct keys."""
-    f = features(texts, list(keep), "text")
+def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl", "id"), passages: bool = True) -> DataFrame:
+    """texts with columns keep and text -> written table with cls (per tbl), n_words, grams, passages."""
+    f = features(texts, list(keep), "text", passages)
     scope = [c for c in keep if c == "tbl"]
     f = f.withColumn("cls", F.xxhash64(*scope, "cls"))
-    if slim:
-        return work.table(f.withColumn("passages", F.array_distinct("passages.key")), name)
+    if not passages:
+        return work.table(f, name)
     f = f.withColumn("passages", F.transform("passages", lambda p: F.struct(F.xxhash64(*scope, p["key"]).alias("key"), F.xxhash64(*scope, p["wide"]).alias("wide"), p["ctx"].alias("ctx"))))
     return work.table(f, name)
 

@@ -1,14 +1,15 @@
 """Problem 6: new batches checked against everything accepted before, without a pass over the history.
 
-The history is an inverted file, kept as tables under one folder:
-* ``cells``: a cell for each passage key (a coordinate of the sparse passage vector) with the texts in it,
+Near texts are looked up exactly by their rarest three-word sequences (``sequences.py``), then compared in full.
+``p6_found`` looks all batches up at once. ``History`` is an inverted file, kept as tables under one folder:
+* ``cells``: a cell for each sequence with the texts that have it,
+* ``rare``: the same for the sequences of each text's prefix only,
+* ``order``: the order of sequences, made at the start and never changed (any order is right, this one is fast),
 * ``vectors``: the full vectors (sets of three-word sequences) for the exact comparison,
 * ``keys``: content hashes and source records.
 
-A query probes its cells from the smallest to the largest and stops as soon as what is left of its vector can
-no longer reach the similarity bound: after the first (1 - BOUND) of its coordinates without a meeting, no text
-can share BOUND of them. Texts met are ranked again exactly on the full vectors. Accepted rows are appended to
-the cells; a batch reads the cells of its own keys only.
+A text finds larger ones in the cells of its own prefix and smaller ones in the rare cells of all its sequences.
+Accepted rows are appended to the cells; a batch reads the cells of its own sequences only.
 
 Candidates are decided in the order of batch_no and candidate_id: a candidate has a reason if it matches a row
 of the core or an earlier candidate without a reason. The links among candidates are resolved in rounds, each
@@ -23,13 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .p1_neardup import featured, short_pairs
+from .p1_neardup import featured
 from .p4_splits import source_key
+from .sequences import MEET, frequencies, lookup, order, prefixes
 from .work import Work
 
-BOUND = 0.2  # of the winnowed passages; far below the exact bound of 0.6, as passages are longer than sequences
-SEEN = 0.1  # the least share of the smaller text's passages that must have met in the probed cells
-
 
 def hash_key(c: Column) -> Column:
     x = F.lower(F.trim(c))
@@ -42,39 +41,34 @@ def record_key(source: Column, source_id: Column) -> Column:
 
 
 def prepared(df: DataFrame, ident: str, work: Work, name: str) -> DataFrame:
-    """Written table: who, hash, record, n_words, cls, grams, passages (their keys)."""
+    """Written table: who, hash, record, n_words, cls, grams."""
     x = df.where(F.col(ident).isNotNull()).select(
         F.col(ident).alias("who"),
         hash_key(F.col("content_hash")).alias("hash"),
         record_key(F.col("source"), F.col("source_id")).alias("record"),
         F.col("clean_content").alias("text"),
     )
-    return featured(x, work, name, keep=("who", "hash", "record"), slim=True)
-
+    return featured(x, work, name, keep=("who", "hash", "record"), passages=False)
 
-def coordinates(f: DataFrame) -> DataFrame:
-    """(cls, key, n): the passages of each text and how many it has."""
-    return f.where("n_words >= 3").select("cls", F.explode("passages").alias("key"), F.size("passages").alias("n")).distinct()
 
+def cells(texts: DataFrame) -> DataFrame:
+    """(cls, n, need, key): the sequences of texts (cls, n, grams), and how many of a prefix a near text must have."""
+    return texts.select("cls", "n", F.least(F.lit(MEET), F.expr("(n * 6 + 9) div 10")).alias("need"), F.explode("grams").alias("key"))
 
-def probed(queries: DataFrame, cells: DataFrame) -> DataFrame:
-    """queries and cells (cls, key, n) -> (a, b): query and text that meet often enough in the probed cells.
 
-    Cells are probed by rising size until no nearer match is possible."""
-    size = cells.groupBy("key").agg(F.count("*").alias("size"))
-    q = queries.join(size, "key", "left").withColumn("size", F.coalesce("size", F.lit(0)))
-    q = q.withColumn("rank", F.row_number().over(Window.partitionBy("cls").orderBy("size", "key")))
-    q = q.where((F.col("size") > 0) & (F.col("rank") <= F.ceil((1 - BOUND) * F.col("n"))))
-    met = q.select(F.col("cls").alias("a"), "key", F.col("n").alias("na")).join(cells.select(F.col("cls").alias("b"), "key", F.col("n").alias("nb")), "key").where("a <> b")
-    met = met.groupBy("a", "b").agg(F.count("*").alias("h"), F.min("na").alias("na"), F.min("nb").alias("nb"))
-    return met.where(F.col("h") >= SEEN * F.least("na", "nb")).select("a", "b")
+def probed(rare: DataFrame, full: DataFrame) -> DataFrame:
+    """Cells of prefixes and cells of whole texts -> (a, b), a < b: texts of the first and no smaller ones of the second
+    that share as much of the prefix as near texts must."""
+    met = rare.select(F.col("cls").alias("x"), F.col("n").alias("nx"), "need", "key").join(full.select(F.col("cls").alias("y"), F.col("n").alias("ny"), "key"), "key").where("x <> y and ny >= nx")
+    met = met.groupBy("x", "y").agg(F.count("*").alias("h"), F.min("need").alias("need")).where("h >= need")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def near(pairs: DataFrame, f: DataFrame, work: Work, name: str) -> DataFrame:
-    """(a, b) of which the exact overlap is at least 0.6 of either vector."""
+def near(pairs: DataFrame, texts: DataFrame, work: Work, name: str) -> DataFrame:
+    """(a, b) of which the exact overlap is at least 0.6 of either vector; texts (cls, grams)."""
     pairs = work.table(pairs, f"{name}-met")
     need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    grams = f.where("n_words >= 3").select("cls", "grams").join(need, "cls", "left_semi").dropDuplicates(["cls"])
+    grams = texts.select("cls", "grams").join(need, "cls", "left_semi").dropDuplicates(["cls"])
     both = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     ok = F.size(F.array_intersect("ga", "gb")) * 10 >= F.least(F.size("ga"), F.size("gb")) * 6
     return work.table(both.where(ok).select("a", "b"), name)
@@ -104,18 +98,20 @@ def resolved(rows: DataFrame, links: DataFrame, work: Work) -> DataFrame:
             return state.select("who", (F.col("state") == 1).alias("accepted"))
 
 
-def judged(core: DataFrame, cand: DataFrame, order: DataFrame, work: Work) -> tuple[DataFrame, DataFrame]:
-    """core, cand: prepared tables; order (who, ord). Returns reasons (who, reason) and (who, accepted)."""
+def judged(core: DataFrame, cand: DataFrame, turns: DataFrame, work: Work) -> tuple[DataFrame, DataFrame]:
+    """core, cand: prepared tables; turns (who, ord). Returns reasons (who, reason) and (who, accepted)."""
     one = cand.dropDuplicates(["who"]).select("who", "hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")).alias("cls"))
-    one = work.table(one.join(order, "who"), "one")
-    texts = cand.where("n_words >= 3").select("cls", "grams", "passages", "n_words").unionByName(core.where("n_words >= 3").select("cls", "grams", "passages", "n_words"))
-    queries = coordinates(cand)
-    cells = work.table(coordinates(core).unionByName(queries).distinct(), "cells")
-    met = probed(queries, cells)
-    short = short_pairs(texts, work)  # texts of too few passages for the cells
-    met = met if short is None else met.unionByName(short)
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = near(met, texts, work, "near")
+    one = work.table(one.join(turns, "who"), "one")
+    texts = cand.where("n_words >= 3").select("cls", "grams", F.lit(True).alias("new")).unionByName(core.where("n_words >= 3").select("cls", "grams", F.lit(False).alias("new")))
+    texts = work.table(texts.groupBy("cls").agg(F.first("grams").alias("grams"), F.max("new").alias("new")), "texts")
+    levels = order(frequencies(texts))
+    new, old = texts.where("new"), texts.where("not new")
+    pairs = one.sparkSession.createDataFrame([], "a bigint, b bigint")
+    for met in (lookup(new, texts, levels, work, "new"), lookup(old, new, levels, work, "old")):
+        pairs = pairs if met is None else pairs.unionByName(met)
+    pairs = near(pairs.distinct(), texts, work, "near")
+    work.drop("near-met")
+    work.drop("texts")
     # classes of candidates tied to each other: each near pair is a tie of its own, each class, hash and record one
     links = one.select("who", F.inline(F.array(F.struct(F.lit("content_hash").alias("reason"), F.col("hash").alias("tie")), F.struct(F.lit("source_id").alias("reason"), F.col("record").alias("tie")), F.struct(F.lit("near_text").alias("reason"), F.col("cls").alias("tie"))))).where("tie is not null")
     links = links.withColumn("hub", F.lit(True))
@@ -142,8 +138,12 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     core = prepared(spark.read.parquet(f"{sf}/core_documents.parquet").select("id", *cols), "id", work, "core")
     raw = spark.read.parquet(f"{sf}/candidates.parquet").select("candidate_id", "batch_no", *cols)
     cand = prepared(raw, "candidate_id", work, "cand")
-    order = raw.where("candidate_id is not null").groupBy("candidate_id").agg(F.min(F.struct(F.coalesce("batch_no", F.lit(2147483647)), "candidate_id")).alias("ord")).withColumnRenamed("candidate_id", "who")
-    return judged(core, cand, order, work)[0].select(F.col("who").alias("candidate_id"), "reason")
+    turns = raw.where("candidate_id is not null").groupBy("candidate_id").agg(F.min(F.struct(F.coalesce("batch_no", F.lit(2147483647)), "candidate_id")).alias("ord")).withColumnRenamed("candidate_id", "who")
+    return judged(core, cand, turns, work)[0].select(F.col("who").alias("candidate_id"), "reason")
+
+
+def _texts(f: DataFrame) -> DataFrame:
+    return f.where("n_words >= 3").select("cls", F.size("grams").alias("n"), "grams").dropDuplicates(["cls"])
 
 
 class History:
@@ -161,10 +161,12 @@ class History:
 
     def _append(self, f: DataFrame, ids: DataFrame | None = None) -> None:
         f = f.join(ids, "who", "left_semi") if ids is not None else f
-        text = f.where("n_words >= 3")
+        text = _texts(f)
+        rare = prefixes(text, order(self._read("order")), True)
         parts = {
-            "cells": coordinates(text).repartitionByRange(8, "key").sortWithinPartitions("key"),
-            "vectors": text.select("cls", "grams").dropDuplicates(["cls"]).repartitionByRange(8, "cls").sortWithinPartitions("cls"),
+            "cells": cells(text).repartitionByRange(8, "key").sortWithinPartitions("key"),
+            "rare": cells(rare).repartitionByRange(8, "key").sortWithinPartitions("key"),
+            "vectors": text.select("cls", "grams").repartitionByRange(8, "cls").sortWithinPartitions("cls"),
             "keys": f.select(F.explode(F.array("hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")))).alias("tie")).where("tie is not null").distinct(),
         }
         for name, df in parts.items():
@@ -172,21 +174,22 @@ class History:
 
     def create(self, rows: DataFrame) -> None:
         work = Work(self.spark, "p6-create")
-        self._append(prepared(rows, "id", work, "rows"))
+        f = prepared(rows, "id", work, "rows")
+        frequencies(_texts(f)).write.parquet(f"{self.path}/order")
+        self._append(f)
 
     def check(self, batch: DataFrame) -> DataFrame:
         """(id, reason) of the batch's rows that repeat the history or an earlier accepted row of the batch; the
         accepted ones are appended."""
         work = Work(self.spark, "p6-batch")
         cand = prepared(batch, "id", work, "rows")
-        queries = coordinates(cand)
-        mine = self._read("cells").join(queries.select("key").distinct(), "key", "left_semi")
-        cells = work.table(mine.select("cls", "key", "n").unionByName(queries).distinct(), "cells")
-        met = probed(queries, cells).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        text = _texts(cand)
+        own, rare = work.table(cells(text), "cells"), work.table(cells(prefixes(text, order(self._read("order")), True)), "rare")
+        mine = lambda name, of: self._read(name).join(of.select("key").distinct(), "key", "left_semi").select("cls", "n", "need", "key")
+        met = probed(rare, mine("cells", rare).unionByName(own)).unionByName(probed(mine("rare", own), own)).distinct()
         met = work.table(met, "met")
         need = met.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        vectors = self._read("vectors").join(need, "cls", "left_semi").withColumn("n_words", F.lit(3)).unionByName(cand.select("cls", "grams", "n_words"))
-        pairs = near(met, vectors, work, "near")
+        pairs = near(met, self._read("vectors").join(need, "cls", "left_semi").unionByName(text.select("cls", "grams")), work, "near")
         keys = self._read("keys")
         # the history stands in as a table of keys alone
         one = work.table(cand.dropDuplicates(["who"]).select("who", "hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")).alias("cls")).withColumn("ord", F.col("who")), "one")

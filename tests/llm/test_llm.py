@@ -42,6 +42,18 @@ def texts(n=60, seed=3):
     return out
 
 
+def scattered(sizes, seed, n=60, inside=0):
+    """Texts and versions with a word changed every 8 words or so: near, but hardly a passage of 8 words is left; with
+    inside, the version stands in so many words of another text."""
+    r = random.Random(seed)
+    out = []
+    for i in range(n):
+        w = [f"v{r.randrange(5000)}" for _ in range(r.choice(sizes))]
+        v = [f"e{i}x{j}" if j % 9 == 4 else x for j, x in enumerate(w)]
+        out += [" ".join(w), " ".join([f"f{r.randrange(5000)}" for _ in range(inside)] + v)]
+    return out
+
+
 def test_code_words_and_near_pairs():
     x = np.random.default_rng(1).integers(0, 1 << 23, 500).astype(np.int32)
     row, a = covering.anchors(x, covering.RADIUS)
@@ -220,6 +232,24 @@ def test_p6_batches_equal_brute_force(spark, tmp_path):
     assert kept == want
 
 
+def p6_rows(t):
+    return [(i, "arxiv", f"{i}", None, x) for i, x in enumerate(t[::2])], [(1000 + i, "ntrs", f"{i}", None, x) for i, x in enumerate(t[1::2])]
+
+
+P6_SCHEMA = "id bigint, source string, source_id string, content_hash string, clean_content string"
+
+
+def test_p6_scattered_edits_and_texts_inside_longer_ones(spark):
+    core, cand = p6_rows(scattered([32, 45, 63], 11, inside=300) + scattered([90, 200], 12))
+    want = brute_history(core, cand)
+    assert len(want) > 100
+    work = Work(spark, "t6s")
+    df, new = spark.createDataFrame(core, P6_SCHEMA), spark.createDataFrame(cand, P6_SCHEMA)
+    turns = new.select(F.col("id").alias("who"), F.struct(F.lit(1).alias("b"), "id").alias("ord"))
+    got = {tuple(x) for x in p6_history.judged(p6_history.prepared(df, "id", work, "core"), p6_history.prepared(new, "id", work, "cand"), turns, work)[0].select("who", "reason").collect()}
+    assert got == want
+
+
 def test_p7_recall_and_edges(spark):
     rng = np.random.default_rng(4)
     centres = rng.standard_normal((150, 256))
@@ -294,6 +324,14 @@ def test_p10_items(text, want):
     assert [(k, re.sub(r"\s+", " ", text[s:e])) for s, e, k in f.spans(text)] == want
 
 
+def test_p10_initials_and_beginnings_without_a_listed_part():
+    names = NAMES + [(h + t, "family") for h in ("Quil", "Mor") for t in ("poric", "xack", "retek", "dane")] + [(h + t, "given") for h in ("Orv", "Dre") for t in ("ane", "sko", "lith", "mira")]
+    names += [(h + t, "given") for h in ("Bel", "Tor") for t in ("vane", "sane", "lane", "mane")] + [(h + "moxen", "family") for h in ("Zim", "Tal", "Rov", "Ner")]
+    f = p10_personal.finder(names)
+    text = "We met in May. D. Quilmoxen asked for it, and then M.\nMormoxen signed. Orvlane Quilmoxen left. The U.S. Quality test, Fig. A. Results."
+    assert [(k, re.sub(r"\s+", " ", text[s:e])) for s, e, k in f.spans(text)] == [("name", "D. Quilmoxen"), ("name", "M. Mormoxen"), ("name", "Orvlane Quilmoxen")]
+
+
 def test_p10_masks_and_nulls(spark):
     t = "Write to a.b@mail.example, or call 555-0145 ext. 24. Rest  stays.\n"
     docs = spark.createDataFrame([(1, t), (2, None), (3, ""), (4, "a.b@c.example a.b@c.example " + "x" * 100_000), (1, t)], "doc_id bigint, text string")
