@@ -250,6 +250,18 @@ def test_p6_scattered_edits_and_texts_inside_longer_ones(spark):
     assert got == want
 
 
+def test_p6_history_of_short_and_scattered_texts(spark, tmp_path):
+    core, cand = p6_rows(scattered(range(3, 32), 13) + scattered([32, 63], 14, 20, inside=100) + scattered([90], 15, 10))
+    cand += [(2000 + i, "x", f"{i}", None, x) for i, x in enumerate(scattered(range(3, 32), 16, 20))]
+    want = brute_history(core, cand)
+    h = p6_history.History(spark, f"file://{tmp_path}/history")
+    h.create(spark.createDataFrame(core, P6_SCHEMA))
+    new, kept = spark.createDataFrame(cand, P6_SCHEMA), set()
+    for lo, hi in ((0, 1050), (1050, 2011), (2011, 9000)):
+        kept |= {(x.id, x.reason) for x in h.check(new.where(f"id >= {lo} and id < {hi}")).collect()}
+    assert len(want) > 50 and kept == want
+
+
 def test_p7_recall_and_edges(spark):
     rng = np.random.default_rng(4)
     centres = rng.standard_normal((150, 256))
@@ -328,8 +340,8 @@ def test_p10_initials_and_beginnings_without_a_listed_part():
     names = NAMES + [(h + t, "family") for h in ("Quil", "Mor") for t in ("poric", "xack", "retek", "dane")] + [(h + t, "given") for h in ("Orv", "Dre") for t in ("ane", "sko", "lith", "mira")]
     names += [(h + t, "given") for h in ("Bel", "Tor") for t in ("vane", "sane", "lane", "mane")] + [(h + "moxen", "family") for h in ("Zim", "Tal", "Rov", "Ner")]
     f = p10_personal.finder(names)
-    text = "We met in May. D. Quilmoxen asked for it, and then M.\nMormoxen signed. Orvlane Quilmoxen left. The U.S. Quality test, Fig. A. Results."
-    assert [(k, re.sub(r"\s+", " ", text[s:e])) for s, e, k in f.spans(text)] == [("name", "D. Quilmoxen"), ("name", "M. Mormoxen"), ("name", "Orvlane Quilmoxen")]
+    text = "We met in May. D. Quilmoxen asked for it, and then M.\nMormoxen signed. Belane Quilmoxen left. The U.S. Quality test, Fig. A. Results."
+    assert [(k, re.sub(r"\s+", " ", text[s:e])) for s, e, k in f.spans(text)] == [("name", "D. Quilmoxen"), ("name", "M. Mormoxen"), ("name", "Belane Quilmoxen")]
 
 
 def test_p10_masks_and_nulls(spark):
