@@ -3,8 +3,8 @@
 Words are maximal runs of letters and digits of the lower-cased text. A text becomes
 * ``cls``: hash of its word sequence, equal for texts that differ only in case, spacing or signs,
 * ``grams``: sorted distinct 32-bit hashes of its sequences of three words (exact comparison),
-* ``passages``: for winnowed positions the hash ``key`` of eight words, the hash ``wide`` of twelve
-  words from there, and ``ctx``, a 23-bit simhash of the five words before and after.
+* ``passages``: for winnowed positions the hash ``key`` of eight words and ``ctx``, a 23-bit simhash
+  of the five words before and after.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 
 WORD = re.compile(r"[^\W_]+")
-GRAM, PASSAGE, WIDE, SIDE, WINDOW, BITS, SHORT = 3, 8, 12, 5, 10, 23, 64
+GRAM, PASSAGE, SIDE, WINDOW, BITS, SHORT = 3, 8, 5, 10, 23, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
                  0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0xAAAAAAAAAAAAAAAB, 0xBF58476D1CE4E5B9], dtype=np.uint64)
@@ -97,7 +97,6 @@ def batch_features(texts: list[str | None], passages: bool = True) -> dict:
     p = np.flatnonzero(pick)
     prow = row[p]
     pkey = np.where(valid[p], key[p], cls[prow]) if len(p) else key[:0]
-    wide = rolling(h, WIDE)[p] if total else key[:0]
     sums = np.zeros((len(p), BITS), dtype=np.int16)
     shifts = np.arange(BITS, dtype=np.uint64)
     for d in [*range(-SIDE, 0), *range(PASSAGE, PASSAGE + SIDE)]:
@@ -107,12 +106,12 @@ def batch_features(texts: list[str | None], passages: bool = True) -> dict:
         sums += np.where(inside[:, None], ((hw[:, None] >> shifts) & np.uint64(1)).astype(np.int16) * 2 - 1, 0).astype(np.int16)
     ctx = ((sums > 0).astype(np.int32) << np.arange(BITS, dtype=np.int32)).sum(axis=1).astype(np.int32)
     poff = np.searchsorted(prow, np.arange(len(texts) + 1)).astype(np.int32)
-    items = pa.StructArray.from_arrays([pa.array(pkey.view(np.int64)), pa.array(wide.view(np.int64)), pa.array(ctx, pa.int32())], names=["key", "wide", "ctx"])
+    items = pa.StructArray.from_arrays([pa.array(pkey.view(np.int64)), pa.array(ctx, pa.int32())], names=["key", "ctx"])
     out["passages"] = pa.ListArray.from_arrays(poff, items)
     return out
 
 
-FEATURES = "n_words int, cls bigint, grams array<int>, passages array<struct<key:bigint,wide:bigint,ctx:int>>"
+FEATURES = "n_words int, cls bigint, grams array<int>, passages array<struct<key:bigint,ctx:int>>"
 
 
 def features(df, keep: list[str], text: str, passages: bool = True):

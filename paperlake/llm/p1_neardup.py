@@ -5,13 +5,9 @@ share eight words are compared by a 23-bit fingerprint of the words around them:
 to every anchor within covering radius plus threshold (``covering.py``) and is compared at the anchors.
 Pairs of texts that meet are then checked exactly on their sets of three-word sequences.
 
-A passage in more than HOT texts (boilerplate) would give too many pairs of texts that share nothing
-else. If a near pair shares only such passages, they make up much of the smaller text; so their rows are
-regrouped, and only texts with at least HEAVY of their passages hot are compared there, with all others.
-No group is capped.
-
-Texts under SHORT_TEXT words have too few passages to be sure of a meeting; they are looked up by their
-rarest three-word sequences among those of all texts (so many that a near text must have one of them).
+Nothing follows from that for scattered edits, short texts and passages of very many texts (groups of more than
+HOT rows are not compared at all). So every text is also looked up by its rarest three-word sequences
+(``sequences.py``), of which a near text must have some: this alone finds all near pairs.
 
 Null, empty and blank texts, and texts under three words, are in no pair. Rows repeated with the same
 id count once. Texts equal as word sequences form one class; all pairs of its ids come out up to
@@ -22,33 +18,25 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .covering import near_pairs
 from .features import features
+from .sequences import frequencies, lookup, order
 from .work import Work
 
-HOT, HEAVY, CLASS_PAIRS = 100, 0.3, 64
-SHORT_TEXT = 32  # words under which a text has too few passages
-FILTER_BITS = 24  # bits of the filter by which sequences of short texts are looked up: 2 MB broadcast
-_MEET = "kind int, a bigint, b bigint, n int"
-
+HOT, CLASS_PAIRS = 100, 64
+_MEET = "a bigint, b bigint"
 
-def _emit(kind, a, b, n):
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(n.astype(np.int32))], names=["kind", "a", "b", "n"])
 
-
-def _compare(k, cls, ctx, heavy=None):
-    """Pairs of classes that meet at an anchor, with the number of meetings; with heavy only pairs of which
-    one is heavy."""
+def _compare(k, cls, ctx):
+    """Pairs of classes that meet at an anchor."""
     order = np.lexsort((ctx, cls, k))
     k, cls, ctx = k[order], cls[order], ctx[order]
-    heavy = None if heavy is None else heavy[order] > 0
     keep = np.ones(len(k), bool)
     keep[1:] = (k[1:] != k[:-1]) | (cls[1:] != cls[:-1]) | (ctx[1:] != ctx[:-1])
     k, cls, ctx = k[keep], cls[keep], ctx[keep]
-    heavy = None if heavy is None else heavy[keep]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     group = np.cumsum(new) - 1
@@ -56,80 +44,56 @@ def _compare(k, cls, ctx, heavy=None):
     if not many.any():
         return None
     group, cls, ctx = group[many], cls[many], ctx[many]
-    i, j = near_pairs(group, ctx, home=None if heavy is None else heavy[many])
+    i, j = near_pairs(group, ctx)
     a, b = np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
     ok = a < b
-    if not ok.any():
-        return None
-    ab, n = np.unique(np.stack([a[ok], b[ok]], axis=1), axis=0, return_counts=True)
-    return ab[:, 0].copy(), ab[:, 1].copy(), n
+    return np.unique(np.stack([a[ok], b[ok]], axis=1), axis=0) if ok.any() else None
 
 
-def _meet(hot: int, last: bool):
-    """Maps batches sorted by k to pairs (kind 0), and rows of keys with more than hot rows to kind 1, for
-    the next, longer key; the last stage, which has the flag heavy as wide, compares groups of any size."""
+def _meet(hot: int):
+    """Maps batches sorted by k to pairs; keys with more than hot rows are left to the lookup of sequences."""
 
     def run(batches):
         held: list[tuple] = []
         hot_key = None
 
-        def cols(b):
-            return [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-
         def flush(parts, final):
             nonlocal hot_key
-            k, wide, cls, ctx = (np.concatenate(x) for x in zip(*parts))
+            k, cls, ctx = (np.concatenate(x) for x in zip(*parts))
             cut = len(k) if final else int(np.searchsorted(k, k[-1], "left"))
-            rest = (k[cut:], wide[cut:], cls[cut:], ctx[cut:])
-            k, wide, cls, ctx = k[:cut], wide[:cut], cls[:cut], ctx[:cut]
-            out = []
+            rest = (k[cut:], cls[cut:], ctx[cut:])
+            k, cls, ctx = k[:cut], cls[:cut], ctx[:cut]
+            got = None
             if len(k):
                 start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
                 size = np.diff(np.append(start, len(k)))
-                big = np.repeat((size > hot) & (not last), size) | (k == hot_key if hot_key is not None else False)
-                if big.any():
-                    out.append(_emit(1, wide[big], cls[big], ctx[big]))
+                big = np.repeat(size > hot, size) | (k == hot_key if hot_key is not None else False)
                 if not big.all():
-                    got = _compare(k[~big], cls[~big], ctx[~big], wide[~big] if last else None)
-                    if got:
-                        out.append(_emit(0, *got))
-            if len(rest[0]) > hot and not last:  # streamed on: the group isn't kept in memory
+                    got = _compare(k[~big], cls[~big], ctx[~big])
+            if len(rest[0]) > hot:  # streamed on: the group isn't kept in memory
                 hot_key = rest[0][0]
-                out.append(_emit(1, rest[1], rest[2], rest[3]))
                 rest = tuple(x[:0] for x in rest)
-            return out, rest
+            if got is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], names=["a", "b"])
+            return rest
 
         rows = 0
         for b in batches:
             if b.num_rows:
-                held.append(cols(b))
+                held.append(tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(3)))
                 rows += b.num_rows
             if rows > 60_000:
-                out, rest = flush(held, False)
-                yield from out
+                rest = yield from flush(held, False)
                 held, rows = ([rest] if len(rest[0]) else []), len(rest[0])
         if held:
-            yield from flush(held, True)[0]
+            yield from flush(held, True)
 
     return run
 
 
-def meetings(lm: DataFrame, work: Work, name: str) -> DataFrame:
-    """lm (k, wide, cls, ctx, passages), one row per passage, with the number of passages of the text
-    -> (a, b, n): classes that meet at n anchors."""
-
-    def stage(df, last, label):
-        got = df.select("k", "wide", "cls", "ctx").repartition("k").sortWithinPartitions("k").mapInArrow(_meet(HOT, last), _MEET)
-        return work.table(got, f"{name}-{label}")
-
-    first = stage(lm, False, "meet1")
-    hot = first.where("kind = 1").select(F.col("a").alias("k"), F.col("b").alias("cls"), F.col("n").alias("ctx"))
-    share = hot.groupBy("cls").agg(F.count("*").alias("hot"))
-    size = lm.select("cls", "passages").distinct()
-    share = share.join(size, "cls").select("cls", (F.col("hot") >= HEAVY * F.col("passages")).cast("bigint").alias("wide"))
-    second = stage(hot.join(share, "cls"), True, "meet2")
-    out = first.where("kind = 0").unionByName(second)
-    return out.groupBy("a", "b").agg(F.sum("n").alias("n"))
+def meetings(lm: DataFrame) -> DataFrame:
+    """lm (k, cls, ctx), one row per passage -> (a, b): classes that meet at an anchor."""
+    return lm.select("k", "cls", "ctx").repartition("k").sortWithinPartitions("k").mapInArrow(_meet(HOT), _MEET)
 
 
 def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl", "id"), passages: bool = True) -> DataFrame:
@@ -137,71 +101,26 @@ def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl",
     f = features(texts, list(keep), "text", passages)
     scope = [c for c in keep if c == "tbl"]
     f = f.withColumn("cls", F.xxhash64(*scope, "cls"))
-    if not passages:
-        return work.table(f, name)
-    f = f.withColumn("passages", F.transform("passages", lambda p: F.struct(F.xxhash64(*scope, p["key"]).alias("key"), F.xxhash64(*scope, p["wide"]).alias("wide"), p["ctx"].alias("ctx"))))
+    if passages:
+        f = f.withColumn("passages", F.transform("passages", lambda p: F.struct(F.xxhash64(*scope, p["key"]).alias("key"), p["ctx"].alias("ctx"))))
     return work.table(f, name)
 
 
-def _bitmap(values: DataFrame) -> np.ndarray:
-    """Bits of the low FILTER_BITS of the 32-bit values g: at most 2^FILTER_BITS / 64 rows reach the driver."""
-    b = F.col("g").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("bigint")
-    rows = values.select(F.shiftright(b, 6).alias("w"), F.expr(f"shiftleft(1L, cast((g & {(1 << FILTER_BITS) - 1}) & 63 as int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).collect()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    if rows:
-        out[[r[0] for r in rows]] = [r[1] for r in rows]
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
-
-
-def _grams_in(f: DataFrame, bits: np.ndarray, scope: list[str]) -> DataFrame:
-    """(cls, *scope, g): the sequences of all texts that can be among those of the bitmap."""
-    shared = f.sparkSession.sparkContext.broadcast(np.packbits(bits))
-    cols = ["cls", *scope]
-
-    def run(batches):
-        bits = np.unpackbits(shared.value).astype(bool)
-        for b in batches:
-            lists = b.column(len(cols))
-            g = lists.flatten().to_numpy()
-            row = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy())
-            at = np.flatnonzero(bits[g & ((1 << FILTER_BITS) - 1)])
-            take = pa.array(row[at])
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(take) for i in range(len(cols))), pa.array(g[at])], names=[*cols, "g"])
-
-    return f.where("n_words >= 3").select(*cols, "grams").mapInArrow(run, "cls bigint, " + "".join(f"{c} string, " for c in scope) + "g int")
-
-
-def short_pairs(f: DataFrame, work: Work) -> DataFrame | None:
-    """(a, b): short texts and all texts that have one of their rarest sequences; None if no text is short."""
-    scope = ["tbl"] if "tbl" in f.columns else []
-    short = f.where(f"n_words >= 3 and n_words < {SHORT_TEXT}").select("cls", "grams", *scope).dropDuplicates(["cls"])
-    short = work.table(short.select("cls", F.size("grams").alias("n"), F.explode("grams").alias("g"), *scope), "short")
-    if not short.limit(1).count():
-        return None
-    some = _grams_in(f, _bitmap(short), scope)
-    all_grams = some.join(short.select("g", *scope).distinct(), ["g", *scope], "left_semi")
-    freq = all_grams.groupBy("g", *scope).agg(F.count("*").alias("df"))
-    rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "g"))
-    # of n sequences 0.6 n must be shared, so that one of the n - ceil(0.6 n) + 1 rarest is
-    rare = short.join(freq, ["g", *scope]).withColumn("r", rank).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * 6 / 10) + 1)
-    rare = work.table(rare.select("g", F.col("cls").alias("s"), *scope), "rare")
-    met = _grams_in(f, _bitmap(rare), scope).join(rare, ["g", *scope]).where("cls <> s")
-    return met.select(F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
-
-
 def near_classes(f: DataFrame, work: Work) -> DataFrame:
     """Exactly near pairs (cls_a, cls_b) of different classes among the featured texts."""
-    lm = f.where("n_words >= 3").select("cls", F.size("passages").alias("of"), F.inline("passages")).select(F.col("key").alias("k"), "wide", "cls", "ctx", F.col("of").alias("passages"))
-    pairs = meetings(lm, work, "p1").select("a", "b")
-    short = short_pairs(f, work)
-    pairs = work.table(pairs if short is None else pairs.unionByName(short).distinct(), "pairs")
-    return checked(pairs, f, work)
+    texts = work.table(f.where("n_words >= 3").select("tbl", "cls", "grams").dropDuplicates(["cls"]), "texts")
+    pairs = meetings(f.where("n_words >= 3").select("cls", F.inline("passages")).withColumnRenamed("key", "k"))
+    for i, (tbl,) in enumerate(sorted(texts.select("tbl").distinct().collect())):
+        own = texts.where(F.col("tbl") == tbl)
+        met = lookup(own, own, order(frequencies(own)), work, f"p1-{i}")
+        pairs = pairs if met is None else pairs.unionByName(met)
+    return checked(work.table(pairs.distinct(), "pairs"), texts, work)
 
 
-def checked(pairs: DataFrame, f: DataFrame, work: Work) -> DataFrame:
+def checked(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     """The pairs (a, b) whose three-word sequences overlap by at least 0.6 of either set."""
     need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    grams = f.where("n_words >= 3").select("cls", "grams").join(need, "cls", "left_semi").dropDuplicates(["cls"])
+    grams = texts.select("cls", "grams").join(need, "cls", "left_semi")
     left = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
     both = left.join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     near = F.size(F.array_intersect("ga", "gb")) * 10 >= F.least(F.size("ga"), F.size("gb")) * 6

@@ -80,6 +80,17 @@ def test_p1_against_brute_force(spark, monkeypatch):
     assert p1_neardup.found(spark, df.limit(0)).count() == 0
 
 
+def test_p1_frequent_passages_alone(spark, monkeypatch):
+    """Near texts that share only a frequent passage, well under 0.3 of either text's."""
+    r = random.Random(21)
+    monkeypatch.setattr(p1_neardup, "HOT", 10)
+    boiler = "as shown in the last report of this long series of tests"
+    t = [x + " " + boiler for x in scattered([60, 90], 22, 30)] + [" ".join(r.choices(WORDS, k=50)) + " " + boiler for _ in range(30)]
+    want = {(i, j) for i in range(len(t)) for j in range(i + 1, len(t)) if near(t[i], t[j])}
+    df = spark.createDataFrame([("d", i, x) for i, x in enumerate(t)], "tbl string, id bigint, text string")
+    assert len(want) >= 25 and {tuple(x) for x in p1_neardup.found(spark, df).select("id_a", "id_b").collect()} == want
+
+
 def test_p1_star_of_many_copies(spark):
     df = spark.createDataFrame([("d", i, "the same five words here") for i in range(100)], "tbl string, id bigint, text string")
     got = {tuple(r) for r in p1_neardup.found(spark, df).select("id_a", "id_b").collect()}
