@@ -91,6 +91,14 @@ def test_p1_frequent_passages_alone(spark, monkeypatch):
     assert len(want) >= 25 and {tuple(x) for x in p1_neardup.found(spark, df).select("id_a", "id_b").collect()} == want
 
 
+def test_p1_scattered_edits(spark):
+    t = scattered([32, 50, 63, 64, 90, 120], 23) + scattered([40, 60], 24, inside=200)
+    want = {(i, j) for i in range(len(t)) for j in range(i + 1, len(t)) if near(t[i], t[j])}
+    df = spark.createDataFrame([("d", i, x) for i, x in enumerate(t)] + [("e", i, x) for i, x in enumerate(t)], "tbl string, id bigint, text string")
+    got = [tuple(x) for x in p1_neardup.found(spark, df).collect()]
+    assert len(want) > 100 and sorted(got) == sorted((d, i, j) for d in "de" for i, j in want)
+
+
 def test_p1_star_of_many_copies(spark):
     df = spark.createDataFrame([("d", i, "the same five words here") for i in range(100)], "tbl string, id bigint, text string")
     got = {tuple(r) for r in p1_neardup.found(spark, df).select("id_a", "id_b").collect()}
