@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from string import ascii_uppercase
 
 import ahocorasick
 import pyarrow as pa
@@ -115,10 +116,12 @@ class Finder:
         for kind, words in (("cue", _CUES), ("street", _STREET_WORDS), ("at", _AT)):
             for w in words:
                 self.automaton.add_word(w, (kind, len(w)))
-        for w in parts.given | parts.family:
+        heads = parts.heads["given"] | parts.heads["family"]
+        for w in parts.given | parts.family | heads | {f"{c}." for c in ascii_uppercase}:
             for form in {w, w.upper()}:
-                if form not in self.automaton:
-                    self.automaton.add_word(form, ("name", len(form)))
+                street = self.automaton.get(form, ("",))[0] == "street"
+                if street or form not in self.automaton:
+                    self.automaton.add_word(form, ("both" if street else "name", len(form)))
         self.automaton.make_automaton()
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
@@ -130,10 +133,11 @@ class Finder:
         for end, (kind, n) in self.automaton.iter(text):
             if kind == "at":
                 at.append(end)
-            elif kind == "street":
-                streets.append(end + 1 - n)
-            elif kind == "name":
-                names.append(end + 1 - n)
+            elif kind != "cue":
+                if kind in ("street", "both"):
+                    streets.append(end + 1 - n)
+                if kind in ("name", "both"):
+                    names.append(end + 1 - n)
             else:
                 names.append(-(end + 2))  # what comes after a cue
         for p in at:  # an address has at most LOCAL signs before its at-sign, and a domain of bounded length after it
