@@ -116,10 +116,10 @@ def tfidf_query(spark, sf):
 
 @query()
 def diverse_evidence(spark, sf):
-    """Top 200 by cosine, then the gate, then one passage a document, 6 of each query (chunk ids divisible by 5000)."""
+    """Top 200 by cosine, then the gate, then one passage a document, 6 of each query (chunk ids divisible by 20)."""
     c = table(spark, sf, "core_chunks").select("id", "embedding").dropDuplicates(["id"])
     rows = c.where(F.size("embedding") == 256).select(F.col("id").alias("row_id"), F.col("embedding").alias("v"))
-    q = rows.where("row_id % 5000 = 0").select(F.col("row_id").alias("query_id"), "v")
+    q = rows.where("row_id % 20 = 0").select(F.col("row_id").alias("query_id"), "v")
     return evidence(top_k(q, rows, 200), chunk_columns(spark, sf, "document_id", "chunk_text"), 6)
 
 

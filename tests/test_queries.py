@@ -51,3 +51,15 @@ def test_registry_without_llm():
     import __spark_entry__ as e
 
     assert set(core.queries()) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_diverse_evidence_has_every_query(spark, sf):
+    """Each chunk id divisible by 20 is a query; only those whose 200 nearest all fail the gate have no row."""
+    from paperlake.functions.quality import gate
+    from paperlake.sources.tables import table
+
+    c = table(spark, sf, "core_chunks").where("size(embedding) = 256")
+    want = {r.id for r in c.where("id % 20 = 0").select("id").collect()}
+    got = {r.query_id for r in core.queries()["diverse_evidence"](spark, sf).collect()}
+    passed = c.select(gate(c.chunk_text).alias("g")).where("g.accepted").count()
+    assert len(want) > 1 and (got == want if passed else not got)
