@@ -1,10 +1,11 @@
 """Problem 10: personal items in free text, found and replaced by typed placeholders.
 
-Anchor expansion: one Aho-Corasick automaton finds at-signs and their disguises, street words, cues of numbers
-and the listed parts of names. Local parsers then expand each anchor to the whole item and check it: an e-mail
+Anchor expansion: one Aho-Corasick automaton finds at-signs and their disguises, street words, cues of
+names, initials, and the listed parts of names and their beginnings. Phones and identity numbers have no anchors:
+patterns run over the whole text. Local parsers then expand each anchor to the whole item and check it: an e-mail
 address must have a domain, a street a number on its right side, a name two parts in one of the usual orders.
-Names missing from the list are known by the beginnings and endings that listed names share, next to a listed
-part or after a cue. Longer items go before shorter ones, and items don't overlap.
+Names missing from the list are known by the beginnings and endings that listed names share, wherever
+one of these beginnings, an initial, a listed part or a cue stands. Longer items go before shorter ones, and items don't overlap.
 
 Null text stays null; empty and blank texts have no items. Repeated rows count once. White space inside an item
 may be a line break; found_text has it as one space.
