@@ -9,6 +9,10 @@ Nothing follows from that for scattered edits, short texts and passages of very
 HOT rows are not compared at all). So every text is also looked up by its rarest three-word sequences
 (``sequences.py``), of which a near text must have some: this alone finds all near pairs.
 
+Texts that share only some passages stay apart, even where a short text consists mostly of such a passage: see
+``stock``. Without it every short text that ends in a standard paragraph would be near every text with that
+paragraph, and the pairs would grow with the square of its holders.
+
 Null, empty and blank texts, and texts under three words, are in no pair. Rows repeated with the same
 id count once. Texts equal as word sequences form one class; all pairs of its ids come out up to
 CLASS_PAIRS copies, beyond that each copy is paired with the least id (linked, not multiplied).
@@ -16,9 +20,11 @@ CLASS_PAIRS copies, beyond that each copy is paired with the least id (linked, n
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .covering import near_pairs
@@ -27,6 +33,9 @@ from .sequences import frequencies, lookup, order
 from .work import Work
 
 HOT, CLASS_PAIRS = 100, 64
+HOLDERS, CORE = 8, 6  # a passage is stock if HOLDERS texts have it; what CORE of them have in common is its core
+#: Shares of a text: that the core of copies makes up; that strangers share besides it; that a pair must share besides stock passages.
+MOSTLY, STRANGE, OWN = 0.5, 0.15, 0.25
 _MEET = "a bigint, b bigint"
 
 
@@ -114,7 +123,7 @@ def near_classes(f: DataFrame, work: Work) -> DataFrame:
         own = texts.where(F.col("tbl") == tbl)
         met = lookup(own, own, order(frequencies(own)), work, f"p1-{i}")
         pairs = pairs if met is None else pairs.unionByName(met)
-    return checked(work.table(pairs.distinct(), "pairs"), texts, work)
+    return apart(f, checked(work.table(pairs.distinct(), "pairs"), texts, work), texts, work)
 
 
 def checked(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
@@ -127,6 +136,61 @@ def checked(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     return work.table(both.where(near).select(F.col("a").alias("cls_a"), F.col("b").alias("cls_b")), "near")
 
 
+def _is_stock(sets: list[np.ndarray], core: np.ndarray) -> bool:
+    """Whether texts with this core are otherwise different: it is less than MOSTLY of most of them, and what they
+    have besides is not shared either (copies with many edits have a small core, but share much besides in pairs)."""
+    if np.median([len(np.intersect1d(x, core, True)) / max(1, len(x)) for x in sets]) >= MOSTLY:
+        return False
+    rest = [np.setdiff1d(x, core, True) for x in sets]
+    shares = [len(np.intersect1d(x, y, True)) / min(len(x), len(y)) if len(x) and len(y) else 1.0 for x, y in combinations(rest, 2)]
+    return np.median(shares) < STRANGE
+
+
+def _cores(batches):
+    """(sig, held): the sets of sequences of HOLDERS texts -> (sig, core) if they are a stock passage."""
+    for b in batches:
+        sig, out = [], []
+        for s, held in zip(b.column(0).to_pylist(), b.column(1)):
+            sets = [x.values.to_numpy() for x in held]
+            g, n = np.unique(np.concatenate(sets), return_counts=True)
+            core = g[n >= CORE]
+            if _is_stock(sets, core):
+                sig.append(s)
+                out.append(core)
+        off = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+        flat = np.concatenate(out) if out else np.zeros(0, np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.ListArray.from_arrays(off, pa.array(flat, pa.int32()))], names=["sig", "core"])
+
+
+def stock(f: DataFrame, near: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
+    """(cls, stock): the sequences of each class of a near pair that belong to stock passages, if it has any.
+
+    A passage (eight words) held by HOLDERS or more of these classes is looked at through HOLDERS of them, chosen by
+    a hash: what CORE of them have in common is its core. In a group of copies the core is most of each text, or the
+    texts share much besides it; where neither holds, they are different texts with a passage in common."""
+    ids = work.table(near.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "paired")
+    held = f.join(ids, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", F.explode(F.array_distinct("passages.key")).alias("key"))
+    held = work.table(held, "held")
+    first = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(1), "cls"), "cls")
+    few = held.withColumn("r", F.row_number().over(first)).where(f"r <= {HOLDERS}").groupBy("key").agg(F.array_sort(F.collect_list("cls")).alias("few")).where(F.size("few") == HOLDERS)
+    few = work.table(few.select("key", F.xxhash64("few").alias("sig"), "few"), "few")
+    one = few.dropDuplicates(["sig"]).select("sig", F.explode("few").alias("cls"))
+    cores = one.join(texts.select("cls", "grams"), "cls").groupBy("sig").agg(F.collect_list("grams").alias("held")).mapInArrow(_cores, "sig bigint, core array<int>")
+    keys = few.select("key", "sig").join(work.table(cores, "cores"), "sig").select("key", "core")
+    return held.join(keys, "key").select("cls", F.explode("core").alias("g")).groupBy("cls").agg(F.collect_set("g").alias("stock"))
+
+
+def apart(f: DataFrame, near: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
+    """The near pairs without those that have only stock passages in common."""
+    s = work.table(stock(f, near, texts, work), "stock")
+    rest = texts.join(s, "cls").select("cls", F.array_except("grams", "stock").alias("rest"))
+    rest = work.table(rest, "rest")
+    x = near.join(rest.select(F.col("cls").alias("cls_a"), F.col("rest").alias("ra")), "cls_a").join(rest.select(F.col("cls").alias("cls_b"), F.col("rest").alias("rb")), "cls_b")
+    own = F.size(F.array_intersect("ra", "rb"))
+    gone = x.where((own == 0) | (own < OWN * F.least(F.size("ra"), F.size("rb")))).select("cls_a", "cls_b")
+    return work.table(near.join(work.table(gone, "gone"), ["cls_a", "cls_b"], "left_anti"), "kept")
+
+
 def tables(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts of both tables: (tbl, id, text)."""
     docs = spark.read.parquet(f"{sf}/core_documents.parquet").select(F.lit("core_documents").alias("tbl"), "id", F.col("clean_content").alias("text"))
