@@ -34,8 +34,9 @@ from .work import Work
 
 HOT, CLASS_PAIRS = 100, 64
 HOLDERS, CORE = 8, 6  # a passage is stock if HOLDERS texts have it; what CORE of them have in common is its core
-#: Shares of a text: that the core of copies makes up; that strangers share besides it; that a pair must share besides stock passages.
-MOSTLY, STRANGE, OWN = 0.5, 0.15, 0.25
+#: Shares of a text: that the core of copies makes up; that strangers share besides it; that a pair must share besides it; that pairs share
+#: which are never set apart.
+MOSTLY, STRANGE, OWN, ALIKE = 0.5, 0.15, 0.25, 0.8
 _MEET = "a bigint, b bigint"
 
 
@@ -132,8 +133,8 @@ def checked(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     grams = texts.select("cls", "grams").join(need, "cls", "left_semi")
     left = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
     both = left.join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
-    near = F.size(F.array_intersect("ga", "gb")) * 10 >= F.least(F.size("ga"), F.size("gb")) * 6
-    return work.table(both.where(near).select(F.col("a").alias("cls_a"), F.col("b").alias("cls_b")), "near")
+    sizes = (F.size(F.array_intersect("ga", "gb")).alias("common"), F.least(F.size("ga"), F.size("gb")).alias("least"), F.greatest(F.size("ga"), F.size("gb")).alias("most"))
+    return work.table(both.select(F.col("a").alias("cls_a"), F.col("b").alias("cls_b"), *sizes).where("common * 10 >= least * 6"), "near")
 
 
 def _is_stock(sets: list[np.ndarray], core: np.ndarray) -> bool:
@@ -147,48 +148,51 @@ def _is_stock(sets: list[np.ndarray], core: np.ndarray) -> bool:
 
 
 def _cores(batches):
-    """(sig, held): the sets of sequences of HOLDERS texts -> (sig, core) if they are a stock passage."""
+    """(key, held): the sets of sequences of HOLDERS texts -> (key, core) if they are a stock passage."""
     for b in batches:
-        sig, out = [], []
+        key, out = [], []
         for s, held in zip(b.column(0).to_pylist(), b.column(1)):
             sets = [x.values.to_numpy() for x in held]
             g, n = np.unique(np.concatenate(sets), return_counts=True)
             core = g[n >= CORE]
             if _is_stock(sets, core):
-                sig.append(s)
+                key.append(s)
                 out.append(core)
         off = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
         flat = np.concatenate(out) if out else np.zeros(0, np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.ListArray.from_arrays(off, pa.array(flat, pa.int32()))], names=["sig", "core"])
+        yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.ListArray.from_arrays(off, pa.array(flat, pa.int32()))], names=["key", "core"])
 
 
-def stock(f: DataFrame, near: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
-    """(cls, stock): the sequences of each class of a near pair that belong to stock passages, if it has any.
+def stock(f: DataFrame, pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
+    """pairs (cls_a, cls_b) -> (cls_a, cls_b, core): the stock passage of those pairs that have one in common.
 
-    A passage (eight words) held by HOLDERS or more of these classes is looked at through HOLDERS of them, chosen by
-    a hash: what CORE of them have in common is its core. In a group of copies the core is most of each text, or the
-    texts share much besides it; where neither holds, they are different texts with a passage in common."""
-    ids = work.table(near.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "paired")
-    held = f.join(ids, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", F.explode(F.array_distinct("passages.key")).alias("key"))
+    Of the passages (eight words) both texts have, the one with most holders is looked at through HOLDERS of them,
+    chosen by a hash: what CORE of them have in common is its core. In a group of copies the core is most of each
+    text, or the texts share much besides it; where neither holds, they are different texts with a passage in common."""
+    ids = pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct()
+    held = f.select("cls", F.array_distinct("passages.key").alias("keys")).join(ids, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", F.explode("keys").alias("key"))
     held = work.table(held, "held")
+    often = held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOLDERS)
+    often = work.table(held.join(often, "key").groupBy("cls").agg(F.collect_list(F.struct("n", "key")).alias("often")), "often")
+    x = pairs.join(often.select(F.col("cls").alias("cls_a"), F.col("often").alias("oa")), "cls_a").join(often.select(F.col("cls").alias("cls_b"), F.col("often").alias("ob")), "cls_b")
+    most = work.table(x.select("cls_a", "cls_b", F.array_max(F.array_intersect("oa", "ob"))["key"].alias("key")).where("key is not null"), "most")
     first = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(1), "cls"), "cls")
-    few = held.withColumn("r", F.row_number().over(first)).where(f"r <= {HOLDERS}").groupBy("key").agg(F.array_sort(F.collect_list("cls")).alias("few")).where(F.size("few") == HOLDERS)
-    few = work.table(few.select("key", F.xxhash64("few").alias("sig"), "few"), "few")
-    one = few.dropDuplicates(["sig"]).select("sig", F.explode("few").alias("cls"))
-    cores = one.join(texts.select("cls", "grams"), "cls").groupBy("sig").agg(F.collect_list("grams").alias("held")).mapInArrow(_cores, "sig bigint, core array<int>")
-    keys = few.select("key", "sig").join(work.table(cores, "cores"), "sig").select("key", "core")
-    return held.join(keys, "key").select("cls", F.explode("core").alias("g")).groupBy("cls").agg(F.collect_set("g").alias("stock"))
+    few = held.join(most.select("key").distinct(), "key", "left_semi").withColumn("r", F.row_number().over(first)).where(f"r <= {HOLDERS}").select("key", "cls")
+    cores = few.join(texts.select("cls", "grams"), "cls").groupBy("key").agg(F.collect_list("grams").alias("held")).mapInArrow(_cores, "key bigint, core array<int>")
+    return most.join(work.table(cores, "cores"), "key").select("cls_a", "cls_b", "core")
 
 
 def apart(f: DataFrame, near: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
-    """The near pairs without those that have only stock passages in common."""
-    s = work.table(stock(f, near, texts, work), "stock")
-    rest = texts.join(s, "cls").select("cls", F.array_except("grams", "stock").alias("rest"))
-    rest = work.table(rest, "rest")
-    x = near.join(rest.select(F.col("cls").alias("cls_a"), F.col("rest").alias("ra")), "cls_a").join(rest.select(F.col("cls").alias("cls_b"), F.col("rest").alias("rb")), "cls_b")
+    """near (cls_a, cls_b, common, least, most) without the pairs that have only a stock passage in common. Pairs that
+    share ALIKE of the larger text aren't looked at: they have hardly anything that is not shared."""
+    unlike = near.where(F.col("common") < ALIKE * F.col("most")).select("cls_a", "cls_b")
+    s = work.table(stock(f, unlike, texts, work), "stock")
+    grams = texts.select("cls", "grams").join(s.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "cls", "left_semi")
+    x = s.join(grams.select(F.col("cls").alias("cls_a"), F.col("grams").alias("ga")), "cls_a").join(grams.select(F.col("cls").alias("cls_b"), F.col("grams").alias("gb")), "cls_b")
+    x = x.select("cls_a", "cls_b", F.array_except("ga", "core").alias("ra"), F.array_except("gb", "core").alias("rb"))
     own = F.size(F.array_intersect("ra", "rb"))
     gone = x.where((own == 0) | (own < OWN * F.least(F.size("ra"), F.size("rb")))).select("cls_a", "cls_b")
-    return work.table(near.join(work.table(gone, "gone"), ["cls_a", "cls_b"], "left_anti"), "kept")
+    return work.table(near.select("cls_a", "cls_b").join(work.table(gone, "gone"), ["cls_a", "cls_b"], "left_anti"), "kept")
 
 
 def tables(spark: SparkSession, sf: str) -> DataFrame:
