@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..work import Work
+
 
 def upsert(stored: DataFrame, new: DataFrame, keys: list[str], ident: str = "id") -> DataFrame:
     """stored and new have the same columns but for ident, which new lacks. Stored rows keep their id, their other
@@ -22,10 +24,14 @@ def upsert(stored: DataFrame, new: DataFrame, keys: list[str], ident: str = "id"
 
 
 def numbered(df: DataFrame, order: list[str], ident: str) -> DataFrame:
-    """Rows numbered 1, 2, ... in the order of order without bringing them into one task: by range partition and
-    the counts of the partitions before."""
-    part = df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p").orderBy(*order)
-    counts = part.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = counts.alias("a").join(F.broadcast(counts.alias("b")), F.expr("b._p < a._p"), "left").groupBy("a._p").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
-    return part.withColumn("_r", F.row_number().over(w)).join(F.broadcast(before), "_p").withColumn(ident, (F.col("_r") + F.col("_before")).cast("bigint")).drop("_p", "_r", "_before")
+    """Rows numbered 1, 2, ... in the order of order without bringing them into one task.
+
+    The range-sorted rows are written once with the place Spark gives each row of a partition; the offsets of the
+    partitions come from the same written rows, so they can't belong to another partitioning."""
+    work = Work(df.sparkSession, "numbered")
+    rows = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    rows = work.table(rows, "rows").withColumn("_p", F.shiftright("_m", 33))
+    counts = rows.groupBy("_p").agg(F.count("*").alias("_n"))  # a row for each partition
+    before = counts.select("_p", (F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p")) - F.col("_n")).alias("_before"))
+    place = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before") + 1
+    return rows.join(F.broadcast(before), "_p").withColumn(ident, place.cast("bigint")).drop("_m", "_p", "_before")
