@@ -112,25 +112,34 @@ def featured(texts: DataFrame, work: Work, name: str = "features", keep=("tbl",
     scope = [c for c in keep if c == "tbl"]
     f = f.withColumn("cls", F.xxhash64(*scope, "cls"))
     if passages:
+        f = f.withColumn("row", F.monotonically_increasing_id())
         f = f.withColumn("passages", F.transform("passages", lambda p: F.struct(F.xxhash64(*scope, p["key"]).alias("key"), p["ctx"].alias("ctx"))))
     return work.table(f, name)
 
 
+def one_each(f: DataFrame, work: Work) -> DataFrame:
+    """f (tbl, cls, grams, row) with the first row of each class only: the other rows' numbers are taken out, so the
+    sequences themselves aren't shuffled where these are few."""
+    first = f.groupBy("cls").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").select("cls", "first")
+    more = work.table(f.select("cls", "row").join(work.table(first, "firsts"), "cls").where("row > first").select("row"), "more")
+    return work.table(f.select("tbl", "cls", "grams", "row").join(more, "row", "left_anti").drop("row"), "texts")
+
+
 def near_classes(f: DataFrame, work: Work) -> DataFrame:
     """Exactly near pairs (cls_a, cls_b) of different classes among the featured texts."""
-    texts = work.table(f.where("n_words >= 3").select("tbl", "cls", "grams").dropDuplicates(["cls"]), "texts")
+    texts = one_each(f.where("n_words >= 3"), work)
     pairs = meetings(f.where("n_words >= 3").select("cls", F.inline("passages")).withColumnRenamed("key", "k"))
     for i, (tbl,) in enumerate(sorted(texts.select("tbl").distinct().collect())):
         own = texts.where(F.col("tbl") == tbl)
         met = lookup(own, own, order(frequencies(own)), work, f"p1-{i}")
         pairs = pairs if met is None else pairs.unionByName(met)
-    return apart(f, checked(work.table(pairs.distinct(), "pairs"), texts, work), texts, work)
+    return apart(f, checked(work.table(pairs.distinct(), "pairs"), texts, work), work)
 
 
 def checked(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     """The pairs (a, b) whose three-word sequences overlap by at least 0.6 of either set."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    grams = texts.select("cls", "grams").join(need, "cls", "left_semi")
+    need = work.table(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "need")  # written: its size is known before the join
+    grams = work.table(texts.select("cls", "grams").join(need, "cls", "left_semi"), "needed")
     left = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
     both = left.join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     sizes = (F.size(F.array_intersect("ga", "gb")).alias("common"), F.least(F.size("ga"), F.size("gb")).alias("least"), F.greatest(F.size("ga"), F.size("gb")).alias("most"))
@@ -169,7 +178,7 @@ def stock(f: DataFrame, pairs: DataFrame, texts: DataFrame, work: Work) -> DataF
     Of the passages (eight words) both texts have, the one with most holders is looked at through HOLDERS of them,
     chosen by a hash: what CORE of them have in common is its core. In a group of copies the core is most of each
     text, or the texts share much besides it; where neither holds, they are different texts with a passage in common."""
-    ids = pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct()
+    ids = work.table(pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "unlike")
     held = f.select("cls", F.array_distinct("passages.key").alias("keys")).join(ids, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", F.explode("keys").alias("key"))
     held = work.table(held, "held")
     often = held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOLDERS)
@@ -178,16 +187,17 @@ def stock(f: DataFrame, pairs: DataFrame, texts: DataFrame, work: Work) -> DataF
     most = work.table(x.select("cls_a", "cls_b", F.array_max(F.array_intersect("oa", "ob"))["key"].alias("key")).where("key is not null"), "most")
     first = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(1), "cls"), "cls")
     few = held.join(most.select("key").distinct(), "key", "left_semi").withColumn("r", F.row_number().over(first)).where(f"r <= {HOLDERS}").select("key", "cls")
-    cores = few.join(texts.select("cls", "grams"), "cls").groupBy("key").agg(F.collect_list("grams").alias("held")).mapInArrow(_cores, "key bigint, core array<int>")
+    cores = work.table(few, "few").join(texts.select("cls", "grams"), "cls").groupBy("key").agg(F.collect_list("grams").alias("held")).mapInArrow(_cores, "key bigint, core array<int>")
     return most.join(work.table(cores, "cores"), "key").select("cls_a", "cls_b", "core")
 
 
-def apart(f: DataFrame, near: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
+def apart(f: DataFrame, near: DataFrame, work: Work) -> DataFrame:
     """near (cls_a, cls_b, common, least, most) without the pairs that have only a stock passage in common. Pairs that
     share ALIKE of the larger text aren't looked at: they have hardly anything that is not shared."""
+    texts = work.spark.read.schema("cls bigint, grams array<int>").parquet(work.path("needed"))
     unlike = near.where(F.col("common") < ALIKE * F.col("most")).select("cls_a", "cls_b")
     s = work.table(stock(f, unlike, texts, work), "stock")
-    grams = texts.select("cls", "grams").join(s.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "cls", "left_semi")
+    grams = texts.join(work.table(s.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "touched"), "cls", "left_semi")
     x = s.join(grams.select(F.col("cls").alias("cls_a"), F.col("grams").alias("ga")), "cls_a").join(grams.select(F.col("cls").alias("cls_b"), F.col("grams").alias("gb")), "cls_b")
     x = x.select("cls_a", "cls_b", F.array_except("ga", "core").alias("ra"), F.array_except("gb", "core").alias("rb"))
     own = F.size(F.array_intersect("ra", "rb"))

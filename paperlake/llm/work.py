@@ -1,42 +1,3 @@
-"""Tables written to the shared folder, so that lineage is cut and executors may be lost."""
+"""Intermediate tables of the training-data operators."""
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors share: spark.checkpoint.dir. Only where that is unset (tests, one
-    machine) a folder of our own is made and set."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not d:
-        d = "file://" + tempfile.mkdtemp(prefix="paperlake-")
-        spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
-
-
-class Work:
-    """Named intermediate tables of one query."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/paperlake/{name}-{uuid.uuid4().hex[:12]}"
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df and read it back: the plan above starts from files."""
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
-
-    def drop(self, name: str) -> None:
-        """Delete a table nothing reads any more."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(conf).delete(path, True)
+from ..work import Work, delete, shared_dir  # noqa: F401
