@@ -1,9 +1,10 @@
 """Problem 10: personal items in free text, found and replaced by typed placeholders.
 
-Anchor expansion: one Aho-Corasick automaton finds at-signs and their disguises, street words, cues of
-names, initials, and the listed parts of names and their beginnings. Phones and identity numbers have no anchors:
-patterns run over the whole text. Local parsers then expand each anchor to the whole item and check it: an e-mail
-address must have a domain, a street a number on its right side, a name two parts in one of the usual orders.
+Anchor expansion: one Aho-Corasick automaton finds at-signs and their disguises, plus signs and beginnings of digit
+groups, cues of identity numbers, street words, cues of names, initials, and the listed parts of names and their
+beginnings. Local parsers then expand each anchor to the whole item and check it: an e-mail address must have a domain,
+a phone a country code or the grouping of a numbering plan, an identity number a cue before it (or a form with
+a valid date or checkable blocks), a street a number on its right side, a name two parts in one of the usual orders.
 Names missing from the list are known by the beginnings and endings that listed names share, wherever
 one of these beginnings, an initial, a listed part or a cue stands. Longer items go before shorter ones, and items don't overlap.
 
@@ -23,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
+#: Format limits of an address: signs before its at-sign (64, and what a disguise adds) and after it (255 and the same).
 LOCAL, DOMAIN = 90, 280
-NAMES = 100_000  # the most listed name parts that are broadcast
+NAMES = 1_000_000  # more listed name parts than this are refused: the list is broadcast
 
 _LOCAL = r"[A-Za-z0-9](?:[\w.+-]*\w)?"
 _EMAIL = re.compile(rf"{_LOCAL}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{{2,}}")
@@ -32,37 +34,36 @@ _HIDDEN = re.compile(
     rf"{_LOCAL}(?:\s?[(\[{{]\s?(?:at|AT)\s?[)\]}}]\s?|\s+AT\s+|\s+at\s+(?=[\w-]+\s+dot\s)|\s?@\s?(?=[\w-]+\s?[(\[{{]))"
     r"[A-Za-z0-9-]+(?:(?:\.|\s?[(\[{]\s?(?:dot|DOT)\s?[)\]}]\s?|\s+DOT\s+|\s+dot\s+)[A-Za-z0-9-]+)+"
 )
-_EXT = r"(?:\s?(?:x|ext\.?|extension|Durchwahl|poste)\s?\d{1,5})?"
-_PHONE = re.compile(
-    r"(?<![\w.+/-])(?:"
-    rf"(?:\+1[\s.-]?)?(?:\(\d{{3}}\)\s?|\d{{3}}[\s.-])\d{{3}}[\s.-]\d{{4}}{_EXT}"
-    rf"|\d{{3}}555\d{{4}}{_EXT}"
-    r"|\d{3}-\d{4}\s(?:x|ext\.?)\s?\d{1,5}"
-    rf"|(?:\+33\s?\d|0\d)(?:[\s.]?\d{{2}}){{4}}{_EXT}"
-    rf"|(?:\+44\s?|0044\s?|0)20\s?\d{{4}}\s?\d{{4}}{_EXT}"
-    rf"|\+49\s?\d{{2,4}}[\s/]?\d{{3,5}}\s?\d{{3,4}}{_EXT}"
-    rf"|0\d{{2,4}}/\d{{6,9}}{_EXT}"
-    rf"|\+\d{{1,3}}(?:[\s.-]?\(?\d{{1,5}}\)?){{2,5}}{_EXT}"
-    r")(?![\w/-]|\.\d)"
-)
-_ID = re.compile(
-    r"(?<![\w.+/-])(?:\d{3}-\d{2}-\d{4}|\d{3}\s\d{2}\s\d{4}|\d{3}\.\d{3}\.\d{3}-\d|\d{2}\s\d{3}\s\d{3}\s\d|\d{6}-\d{4}|\d{4}-\d{4}|[A-Z]{2}\d{7}|[A-Z]\d{8}[A-Z])(?![\w/-]|\.\d)"
-)
+_EXT = re.compile(r"\s?(?:x|ext\.?|extension|Durchwahl|poste|anexo)\s?\d{1,5}(?![\w/-]|\.\d)")
+_AFTER = re.compile(r"[\w/-]|\.\d")  # what can't follow the end of a number
+_GROUP = re.compile(r"\((\d{1,5})\)|(\d+)")
+_GAP = re.compile(r"[ \n\t\u00a0][(]?|[.\-/]")
+_CALL = re.compile(r"(?:\b(?:tel|tél|phone|telephone|telefon|teléfono|téléphone|mobile|cell|fax|call|dial|ring|desk|hotline|whatsapp|sms|appeler|anrufen|llamar|reach)\b|@|[(\[{]\s?at\s?[)\]}]|\bdot\b|\bcontact\w*\b)[\s\S]{0,40}$", re.I)
+#: What announces a person's number.
+_ID_CUES = [
+    "social security", "SSN", "national insurance", "tax id", "tax number", "taxpayer", "TIN", "passport", "identity number", "identity card", "identity no", "national id", "ID", "id number", "id no", "id card", "badge", "driver's license", "driving licence",
+    "Ausweis", "Personalausweis", "Reisepass", "Steuernummer", "Steuer-ID", "Sozialversicherungsnummer", "Pièce d'identité", "carte d'identité", "passeport", "sécurité sociale", "numéro fiscal", "DNI", "NIE", "NIF", "pasaporte", "documento", "identidad", "seguridad social",
+]
+_ID_LINK = re.compile(r"(?:[\s:#(=,]|\b(?:no|nr|num|number|nummer|card|code|is|was|lautet|est|es)\b\.?|n[°º.]|№)*", re.I)
+#: Forms of identity numbers in groups, and the single word: 6 to 14 signs, of which at least 5 are digits.
+_ID_FORMS = re.compile(r"(?:\d{3}-\d{2}-\d{4}|\d{3}\s\d{2}\s\d{4}|\d{3}\.\d{3}\.\d{3}-\d{1,2}|\d{2}\s\d{3}\s\d{3}\s\d|\d{3}\s\d{3}\s\d{3}|\d{6}[-+]\d{4}|\d{4}-\d{4}|(?=(?:[A-Z]*\d){5})[A-Z\d]{6,14})(?![\w/-]|\.\d)")
+#: Forms that need no cue: blocks of a social security number, dotted groups with a check part, a birth date with a serial part.
+_ID_PLAIN = re.compile(r"(?:(?!000|666|9\d\d)\d{3}-(?!00)\d{2}-(?!0000)\d{4}|\d{3}\.\d{3}\.\d{3}-\d{1,2}|\d{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12]\d|3[01])[-+]\d{4})(?![\w/-]|\.\d)")
 _NOT_PERSON = re.compile(r"(?:Order|Part|Report|Run|Serial|Build|Checksum|Unit|Lot|Ticket|Batch|Drawing|No\. of|Invoice|Contract|Item|Model|Asset|Case|Bestellung|Pedido|Commande)\s+(?:no\.?\s+|number\s+|#)?$", re.I)
-_LETTER_ID = re.compile(r"[A-Z]{2}\d{7}|[A-Z]\d{8}[A-Z]")
 _UP = r"[A-ZÄÖÜÉÁÍÓÚÑ][\w'’äöüßéáíóúñ-]*"
-_STREET_EN = r"(?:Street|Road|Avenue|Lane|Drive|Blvd|Boulevard|Terrace|Court|Place|Way|Close|Square|Crescent|Row|Walk|St\.|Rd\.|Ave\.)"
+_STREET_EN = r"(?:Street|Road|Avenue|Lane|Drive|Blvd|Boulevard|Terrace|Court|Place|Way|Close|Square|Crescent|Row|Walk|(?:St|Rd|Ave|Ln|Dr|Blvd|Ct|Sq)\b\.?)"
 _STREET = re.compile(
-    rf"(?<![\w.-])\d{{1,5}}[A-Z]?,?\s(?:(?:West|East|North|South|Old|New|Upper|Lower|Great|Little)\s)?{_UP}\s{_STREET_EN}(?!\w)"
+    rf"(?<![\w.-])\d{{1,5}}[A-Z]?,?\s(?:{_UP}\s){{1,3}}{_STREET_EN}(?!\w)"
     rf"|(?<![\w.-])\d{{1,5}}[A-Za-z]?,?\s(?:rue|avenue|boulevard|place|chemin|quai|impasse)\s(?:(?:de|du|des|la|le)\s){{0,2}}{_UP}"
     rf"|(?<!\w){_UP}(?:straße|strasse|weg|platz|gasse|allee|ring|damm)\s\d{{1,5}}[A-Za-z]?(?!\w|\.\d)"
     rf"|(?<!\w)(?:Calle|Avenida|Plaza|Paseo|Camino|Via|Rua)\s(?:(?:de|del|la|las|los)\s){{0,2}}{_UP},?\s\d{{1,5}}[A-Za-z]?(?!\w|\.\d)"
 )
-_STREET_WORDS = ["Street", "Road", "Avenue", "Lane", "Drive", "Blvd", "Boulevard", "Terrace", "Court", "Place", "Way", "Close", "Square", "Crescent", "Row", "Walk", "St.", "Rd.", "Ave.", "rue", "avenue", "boulevard", "place", "chemin", "quai", "impasse", "straße", "strasse", "weg", "platz", "gasse", "allee", "ring", "damm", "Calle", "Avenida", "Plaza", "Paseo", "Camino", "Via", "Rua"]
+_STREET_WORDS = ["Street", "Road", "Avenue", "Lane", "Drive", "Blvd", "Boulevard", "Terrace", "Court", "Place", "Way", "Close", "Square", "Crescent", "Row", "Walk", "St", "Rd", "Ave", "Ln", "Dr", "Ct", "Sq", "rue", "avenue", "boulevard", "place", "chemin", "quai", "impasse", "straße", "strasse", "weg", "platz", "gasse", "allee", "ring", "damm", "Calle", "Avenida", "Plaza", "Paseo", "Camino", "Via", "Rua"]
 _NO_STREET = re.compile(r"(?:Table|Figure|Fig\.|Another|Section|Unit|Part|Bay|Chapter|Run|Test)\s+$")
 _CUES = ["To:", "From:", "Contact ", "Contacter ", "Dr.", "Dra.", "Prof.", "Mr.", "Ms.", "Mrs.", "Mme ", "Herr ", "Frau ", "Sr.", "Sra.", "Signed:", "Thanks to ", "Prepared by ", "Present:", "Regards,", "Best wishes", "Cc:", "-- ", "issued to ", "request of ", "gate by ", "shift (", "We met ", "the review, ", "reimbursement for ", "As ", "nombre de ", "présentée par ", "Rückfragen an ", "Consultas a ", "gehört "]
 _NAME_PART = r"[A-Z][\w'’éèáíóúñäöüß-]+"
-_AT = ["@", "(at)", "[at]", "{at}", "(AT)", "[AT]", " AT ", "\nAT ", " AT\n", " at\n", "\nat ", " at "]
+_AT = ["@", "(at)", "[at]", "{at}", "(AT)", "[AT]", " AT ", " at "]
+_EDGES = " \n\t\u00a0(:;,|=#\"'[°ºª"  # what can stand before a number
 
 
 class NameParts:
@@ -79,7 +80,7 @@ class NameParts:
 
     def like(self, word: str, kind: str) -> bool:
         """A word made of a beginning and an ending of listed parts, with at most four letters between."""
-        if len(word) < 4 or len(word) > 14:
+        if len(word) < 4:
             return False
         heads, tails = self.heads[kind], self.tails[kind]
         for h in (4, 3, 2):
@@ -102,6 +103,34 @@ class NameParts:
         return w in (self.given if kind == "given" else self.family) or self.like(w, kind)
 
 
+def is_phone(plus: bool, groups: list[str], gaps: list[str], ext: bool, before: str) -> bool:
+    """Whether groups of digits (some in brackets) with the signs between them are a phone number."""
+    g = [x.strip("()") for x in groups]
+    digits, size = "".join(g), [len(x) for x in g]
+    n = len(digits)
+    if plus:
+        return 8 <= n <= 15 and len(g) > 1 or 10 <= n <= 15
+    if len(set(x if x != "\n" else " " for x in gaps if x)) > 2:
+        return False
+    if size[-3:] == [3, 3, 4] and (len(g) == 3 or len(g) == 4 and g[0] == "1") and "/" not in gaps:
+        return g[-3][0] in "23456789"
+    if groups[0].startswith("("):
+        return len(g) == 3 and size == [3, 3, 4]
+    if n == 10 and len(g) == 1 and digits[0] in "23456789" and digits[3] in "23456789":
+        return ext or bool(_CALL.search(before))
+    if size == [3, 4] and gaps == ["-"]:
+        return ext or bool(_CALL.search(before[-14:]))
+    if digits[0] == "0" and n >= 9:
+        if digits[1] == "0":
+            return 10 <= n <= 15 and len(g) > 1 and "-" not in gaps
+        if size == [2] * 5 or n == 10 and len(g) == 1 and bool(_CALL.search(before)):
+            return True
+        if gaps == ["/"] and 3 <= size[0] <= 5:
+            return 9 <= n <= 14
+        return len(g) in (2, 3) and 10 <= n <= 11 and 3 <= size[0] <= 5 and min(size) >= 3 and all(x in " \n\u00a0" for x in gaps)
+    return False
+
+
 _INITIAL = r"[A-Z]\."
 _FORWARD = re.compile(rf"({_NAME_PART}|{_INITIAL})(?:\s({_INITIAL}))?\s({_NAME_PART})")
 _BACKWARD = re.compile(rf"([A-Z][A-Z'’ÉÄÖÜ-]{{2,}})(,?)\s({_NAME_PART}|{_INITIAL})(?:\s({_INITIAL}))?")
@@ -117,6 +146,13 @@ class Finder:
         for kind, words in (("cue", _CUES), ("street", _STREET_WORDS), ("at", _AT)):
             for w in words:
                 self.automaton.add_word(w, (kind, len(w)))
+        for w in _ID_CUES:
+            for form in {w, w[:1].upper() + w[1:], w.upper()}:
+                self.automaton.add_word(form, ("id", len(form)))
+        for d in range(10):
+            for edge in _EDGES:
+                self.automaton.add_word(f"{edge}{d}", ("number", 1))
+            self.automaton.add_word(f"+{d}", ("number", 2))
         heads = parts.heads["given"] | parts.heads["family"]
         for w in parts.given | parts.family | heads | {f"{c}." for c in ascii_uppercase}:
             for form in {w, w.upper()}:
@@ -131,9 +167,16 @@ class Finder:
         names: list[int] = []
         streets: list[int] = []
         at: list[int] = []
-        for end, (kind, n) in self.automaton.iter(text):
+        numbers: list[int] = [0] if text[:1].isdigit() else []
+        cues: list[int] = []
+        for end, (kind, n) in self.automaton.iter(text.replace("\n", " ")):
             if kind == "at":
                 at.append(end)
+            elif kind == "number":
+                numbers.append(end + 1 - n)
+            elif kind == "id":
+                if end + 1 >= n and (end + 1 == n or not text[end - n].isalnum()):
+                    cues.append(end + 1)
             elif kind != "cue":
                 if kind in ("street", "both"):
                     streets.append(end + 1 - n)
@@ -152,14 +195,10 @@ class Finder:
         taken = sorted(found)
         for s in streets:
             found += self._street(text, s)
-        for m in _PHONE.finditer(text):
-            if 7 <= sum(c.isdigit() for c in m[0]) <= 20:
-                found.append((m.start(), m.end(), "phone"))
-        for m in _ID.finditer(text):
-            before = text[max(0, m.start() - 24) : m.start()]
-            if not _NOT_PERSON.search(before):
-                found.append((m.start(), m.end(), "id_number"))
-        found += self._names(text, names, taken)
+        people = self._names(text, names, taken)
+        found += self._identities(text, cues, numbers, people)
+        found += self._phones(text, numbers, {e for _, e, _ in people})
+        found += people
         found.sort(key=lambda x: (x[0], x[0] - x[1]))
         order = {"email": 0, "address": 1, "phone": 2, "id_number": 3, "name": 4}
         out: list[tuple[int, int, str]] = []
@@ -172,6 +211,66 @@ class Finder:
             out.append(x)
         return out
 
+    def _identities(self, text: str, cues: list[int], numbers: list[int], people):
+        for c in cues:
+            if c < len(text) and text[c].isalnum():
+                continue  # the cue is the beginning of another word
+            if _NOT_PERSON.search(text[max(0, c - 30) : c] + " "):
+                continue
+            link = _ID_LINK.match(text, c)
+            m = _ID_FORMS.match(text, link.end())
+            if m and link.end() > c:
+                yield (m.start(), m.end(), "id_number")
+        for _, e, _ in people:  # a number in brackets after a name
+            gap = re.compile(r"\s?\(").match(text, e)
+            m = gap and _ID_FORMS.match(text, gap.end())
+            if m and text[m.end() : m.end() + 1] == ")":
+                yield (m.start(), m.end(), "id_number")
+        for a in numbers:
+            m = _ID_PLAIN.match(text, a)
+            if m and not _NOT_PERSON.search(text[max(0, a - 24) : a]):
+                yield (m.start(), m.end(), "id_number")
+
+    def _phones(self, text: str, numbers: list[int], people: set[int]):
+        """From each beginning of a digit group the longest run of groups that is a phone number."""
+        done = 0
+        for a in numbers:
+            if a < done:
+                continue
+            if text[a] != "+" and a and text[a - 1] == "(":
+                a -= 1
+            if a > 1 and text[a - 1] == "+":
+                continue
+            groups, gaps, ends = [], [], []
+            at = a + (text[a] == "+")
+            while len(groups) < 8:
+                m = _GROUP.match(text, at)
+                if not m:
+                    break
+                groups.append(m[0])
+                ends.append(m.end())
+                gap = _GAP.match(text, m.end()) if text[m.end() : m.end() + 1] != "(" else None
+                if text[m.end() : m.end() + 1] == "(":
+                    gaps.append("")
+                    at = m.end()
+                    continue
+                if not gap:
+                    break
+                gaps.append(gap[0][0])
+                at = m.end() + (1 if gap[0][-1] == "(" or len(gap[0]) == 1 else len(gap[0]))
+            for k in range(len(groups), 0, -1):
+                end = ends[k - 1]
+                ext = _EXT.match(text, end)
+                if not ext and _AFTER.match(text, end):
+                    continue
+                before = text[max(0, a - 70) : a]
+                if any(e in people for e in range(a - 5, a)):
+                    before = "phone "  # it stands beside a name
+                if is_phone(text[a] == "+", groups[:k], gaps[: k - 1], bool(ext), before) and not _NOT_PERSON.search(before[-24:]):
+                    done = ext.end() if ext else end
+                    yield (a, done, "phone")
+                    break
+
     def _street(self, text: str, at: int):
         lo = max(0, at - 45)
         for m in _STREET.finditer(text, lo, min(len(text), at + 60)):
@@ -259,7 +358,11 @@ def replaced(text: str | None, f: Finder) -> str | None:
 
 
 def _shared(spark: SparkSession, names: DataFrame):
-    rows = [tuple(r) for r in names.select("name_part", "part_kind").where("name_part is not null").distinct().orderBy("name_part", "part_kind").limit(NAMES).collect()]
+    listed = names.select("name_part", "part_kind").where("name_part is not null").distinct()
+    rows = [tuple(r) for r in listed.limit(NAMES + 1).collect()]
+    if len(rows) > NAMES:
+        raise ValueError(f"the list of names has more than {NAMES} parts")
+    rows.sort(key=str)
     return spark.sparkContext.broadcast(rows)
 
 

@@ -347,6 +347,11 @@ NAMES = [("Vesko", "given"), ("Milith", "given"), ("Tesduskar", "family"), ("Kel
         ("Order 4711-870-22, Part 30-180-45, Report TM-2019-301, build 10.4.2.71@nominal, 5 @ 20 Hz, @flight_ops", []),
         ("Another 6 Reaction Wheel Drive units; Table 3 Main Road Wheel Court tests", []),
         ("Vesko alone and the Kelpysund ridge", []),
+        ("in 2019-2021 and on pages 1204-1288, serial 4440187", []),
+        ("call 2125550187 or 2124440187, ext. 9; Order 2124440187", [("phone", "2125550187"), ("phone", "2124440187")]),
+        ("at 12 Rose Garden Street or 12 Elm St, in town", [("address", "12 Rose Garden Street"), ("address", "12 Elm St")]),
+        ("passport no. C01X00T47; SSN 123456789; tax\nid 918 05 0573; 219-09-9999; 990230-1234", [("id_number", "C01X00T47"), ("id_number", "123456789"), ("id_number", "918 05 0573"), ("id_number", "219-09-9999"), ("id_number", "990230-1234")]),
+        ("Signed: Vesko Kelpysund (0006-5118), +44 20 7946 0018 and 01 99 00 12 34 and 030/12345678", [("name", "Vesko Kelpysund"), ("id_number", "0006-5118"), ("phone", "+44 20 7946 0018"), ("phone", "01 99 00 12 34"), ("phone", "030/12345678")]),
         ("", []),
     ],
 )
