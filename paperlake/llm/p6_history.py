@@ -1,34 +1,43 @@
 """Problem 6: new batches checked against everything accepted before, without a pass over the history.
 
-Near texts are looked up exactly by their rarest three-word sequences (``sequences.py``), then compared in full.
-``p6_found`` looks all batches up at once. ``History`` is an inverted file, kept as tables under one folder:
-* ``cells``: a cell for each sequence with the texts that have it,
-* ``rare``: the same for the sequences of each text's prefix only,
-* ``order``: the order of sequences, made at the start and never changed (any order is right, this one is fast),
-* ``vectors``: the full vectors (sets of three-word sequences) for the exact comparison,
-* ``keys``: content hashes and source records.
-
-A text finds larger ones in the cells of its own prefix and smaller ones in the rare cells of all its sequences.
-Accepted rows are appended to the cells; a batch reads the cells of its own sequences only.
+``History`` is a persisted inverted file under one folder. A text's vector is its set of three-word sequences, in a
+fixed order from rare to frequent; the cells are buckets of sequences, and a text's vector lies in them by parts:
+* ``cells`` (partitioned by bucket): cls, n, need, keys, k: the text's sequences of this bucket, rarest first; the first
+  k of them belong to its prefix. All parts together are the full vector,
+* ``keys`` (partitioned by bucket): content hashes, source records and texts (as word sequences) of accepted rows,
+* ``order``: the order of sequences, made at the start and never changed (any order is right, this one is fast).
+
+The bound of the probing: two texts are near if they share 0.6 of the smaller one's n sequences. If a text has
+met fewer than k of the n - ceil(0.6 n) + k rarest sequences of the smaller one, the two can't be near. So a new text
+probes the cells of its own prefix for larger texts, and the prefixes in the cells of all its sequences for smaller ones,
+and no further; what meets often enough is compared exactly on the full vectors. Cells are partitions of the table, so
+a batch reads the buckets of its own sequences only; their number follows from the size of the first history.
 
 Candidates are decided in the order of batch_no and candidate_id: a candidate has a reason if it matches a row
-of the core or an earlier candidate without a reason. The links among candidates are resolved in rounds, each
-deciding all whose earlier links are decided; keys shared by many candidates are resolved by their first
-accepted row, not by pairs.
+of the core or an earlier candidate without a reason. Batches go one after the other; the accepted rows of each are
+appended. The links within a batch are resolved in rounds, each deciding all whose earlier links are decided; keys shared
+by many rows are resolved by their first accepted row, not by pairs.
 
-Repeated candidates count once. Null, empty and blank texts, hashes and ids match nothing.
+Repeated candidates count once. Null, empty and blank texts, hashes and ids match nothing. A null batch_no is the last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .p1_neardup import featured
 from .p4_splits import source_key
-from .sequences import MEET, frequencies, lookup, order, prefixes
+from .sequences import frequencies, needed, order, ranks
 from .work import Work
 
+BUCKET = 1 << 20  # sequences of a bucket when the history is made
+LAST = 2147483647
+CELL = "bucket int, cls bigint, n int, need int, keys array<int>, k int"
+ROWS = ["source", "source_id", "content_hash", "clean_content"]
+
 
 def hash_key(c: Column) -> Column:
     x = F.lower(F.trim(c))
@@ -40,46 +49,24 @@ def record_key(source: Column, source_id: Column) -> Column:
     return F.when(k.isNotNull(), F.xxhash64(F.lit("s"), k))
 
 
-def prepared(df: DataFrame, ident: str, work: Work, name: str) -> DataFrame:
-    """Written table: who, hash, record, n_words, cls, grams."""
-    x = df.where(F.col(ident).isNotNull()).select(
+def prepared(df: DataFrame, ident: str, work: Work, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Written table: keep, who, hash, record, cls (null under three words), grams; each ident once."""
+    x = df.where(F.col(ident).isNotNull()).dropDuplicates([ident]).select(
+        *keep,
         F.col(ident).alias("who"),
         hash_key(F.col("content_hash")).alias("hash"),
         record_key(F.col("source"), F.col("source_id")).alias("record"),
         F.col("clean_content").alias("text"),
     )
-    return featured(x, work, name, keep=("who", "hash", "record"), passages=False)
-
-
-def cells(texts: DataFrame) -> DataFrame:
-    """(cls, n, need, key): the sequences of texts (cls, n, grams), and how many of a prefix a near text must have."""
-    return texts.select("cls", "n", F.least(F.lit(MEET), F.expr("(n * 6 + 9) div 10")).alias("need"), F.explode("grams").alias("key"))
-
-
-def probed(rare: DataFrame, full: DataFrame) -> DataFrame:
-    """Cells of prefixes and cells of whole texts -> (a, b), a < b: texts of the first and no smaller ones of the second
-    that share as much of the prefix as near texts must."""
-    met = rare.select(F.col("cls").alias("x"), F.col("n").alias("nx"), "need", "key").join(full.select(F.col("cls").alias("y"), F.col("n").alias("ny"), "key"), "key").where("x <> y and ny >= nx")
-    met = met.groupBy("x", "y").agg(F.count("*").alias("h"), F.min("need").alias("need")).where("h >= need")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-
-def near(pairs: DataFrame, texts: DataFrame, work: Work, name: str) -> DataFrame:
-    """(a, b) of which the exact overlap is at least 0.6 of either vector; texts (cls, grams)."""
-    pairs = work.table(pairs, f"{name}-met")
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    grams = texts.select("cls", "grams").join(need, "cls", "left_semi").dropDuplicates(["cls"])
-    both = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
-    ok = F.size(F.array_intersect("ga", "gb")) * 10 >= F.least(F.size("ga"), F.size("gb")) * 6
-    return work.table(both.where(ok).select("a", "b"), name)
+    f = featured(x, work, name, keep=(*keep, "who", "hash", "record"), passages=False)
+    return f.withColumn("cls", F.when(F.col("n_words") >= 3, F.col("cls"))).drop("n_words")
 
 
 def resolved(rows: DataFrame, links: DataFrame, work: Work) -> DataFrame:
     """rows (who, ord, decided) and links (who, tie, hub): decided is true for rows with a reason from the history.
 
     A tie's hub rows reject all later rows of the tie once accepted. Returns (who, accepted)."""
-    state = work.table(rows.select("who", "ord", F.when(F.col("decided"), F.lit(0)).otherwise(F.lit(None).cast("int")).alias("state")), "state0")
-    links = work.table(links, "links")
+    state = rows.select("who", "ord", F.when(F.col("decided"), F.lit(0)).otherwise(F.lit(None).cast("int")).alias("state"))
     k = 0
     while True:
         k += 1
@@ -91,117 +78,160 @@ def resolved(rows: DataFrame, links: DataFrame, work: Work) -> DataFrame:
         y = x.where("state is null").join(first, "tie")
         y = y.groupBy("who").agg(F.max(F.coalesce(F.col("accepted") < F.col("ord"), F.lit(False))).alias("hit"), F.max(F.coalesce(F.col("open") < F.col("ord"), F.lit(False))).alias("wait"))
         new = state.join(y, "who", "left").select("who", "ord", F.when(F.col("state").isNotNull(), F.col("state")).when(F.coalesce("hit", F.lit(False)), F.lit(0)).when(F.coalesce("wait", F.lit(False)), F.lit(None).cast("int")).otherwise(F.lit(1)).alias("state"))
-        new = work.table(new, f"state{k}")
+        left = Observation()
+        new = new.observe(left, F.count_if(F.col("state").isNull()).alias("n"))
+        state = work.table(new, f"state{k}")
         work.drop(f"state{k - 1}")
-        state = new
-        if not state.where("state is null").limit(1).count():
+        if not left.get["n"]:
             return state.select("who", (F.col("state") == 1).alias("accepted"))
 
 
-def judged(core: DataFrame, cand: DataFrame, turns: DataFrame, work: Work) -> tuple[DataFrame, DataFrame]:
-    """core, cand: prepared tables; turns (who, ord). Returns reasons (who, reason) and (who, accepted)."""
-    one = cand.dropDuplicates(["who"]).select("who", "hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")).alias("cls"))
-    one = work.table(one.join(turns, "who"), "one")
-    texts = cand.where("n_words >= 3").select("cls", "grams", F.lit(True).alias("new")).unionByName(core.where("n_words >= 3").select("cls", "grams", F.lit(False).alias("new")))
-    texts = work.table(texts.groupBy("cls").agg(F.first("grams").alias("grams"), F.max("new").alias("new")), "texts")
-    levels = order(frequencies(texts))
-    new, old = texts.where("new"), texts.where("not new")
-    pairs = one.sparkSession.createDataFrame([], "a bigint, b bigint")
-    for met in (lookup(new, texts, levels, work, "new"), lookup(old, new, levels, work, "old")):
-        pairs = pairs if met is None else pairs.unionByName(met)
-    pairs = near(pairs.distinct(), texts, work, "near")
-    work.drop("near-met")
-    work.drop("texts")
-    # classes of candidates tied to each other: each near pair is a tie of its own, each class, hash and record one
-    links = one.select("who", F.inline(F.array(F.struct(F.lit("content_hash").alias("reason"), F.col("hash").alias("tie")), F.struct(F.lit("source_id").alias("reason"), F.col("record").alias("tie")), F.struct(F.lit("near_text").alias("reason"), F.col("cls").alias("tie"))))).where("tie is not null")
-    links = links.withColumn("hub", F.lit(True))
-    pair = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    # a row of class a is rejected by rows of class b: the tie of b has the row as one that is no hub
-    cross = one.select("who", F.col("cls").alias("a")).join(pair, "a").select("who", F.lit("near_text").alias("reason"), F.col("b").alias("tie"), F.lit(False).alias("hub"))
-    links = work.table(links.unionByName(cross).distinct(), "all-links")
-    old = core.select(F.explode(F.array("hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")))).alias("tie")).where("tie is not null").distinct()
-    hits = work.table(links.join(old, "tie", "left_semi").select("who", "reason").distinct(), "hits")
-    rows = one.select("who", "ord").join(hits.select("who").distinct().withColumn("decided", F.lit(True)), "who", "left").withColumn("decided", F.coalesce("decided", F.lit(False)))
-    among = links.withColumn("n", F.count("*").over(Window.partitionBy("tie"))).where("n > 1")
-    accepted = work.table(resolved(rows, among.select("who", "tie", "hub"), work), "accepted")
-    # reasons of the rejected: the first accepted row of the tie came earlier
-    x = among.join(accepted, "who").join(one.select("who", "ord"), "who")
-    first = x.where("hub and accepted").groupBy("tie").agg(F.min("ord").alias("first"))
-    more = x.join(first, "tie").where("first < ord").select("who", "reason")
-    return hits.unionByName(more).distinct(), accepted
+def _pruned(df: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
+    """df without the partitions of buckets that are not wanted; their list is at most buckets long."""
+    mine = [r[0] for r in wanted.select("bucket").distinct().collect()]
+    return df if len(mine) == buckets else df.where(F.col("bucket").isin(mine) if mine else F.lit(False))
 
 
-def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    """(candidate_id, reason)."""
-    work = Work(spark, "p6")
-    cols = ["source", "source_id", "content_hash", "clean_content"]
-    core = prepared(spark.read.parquet(f"{sf}/core_documents.parquet").select("id", *cols), "id", work, "core")
-    raw = spark.read.parquet(f"{sf}/candidates.parquet").select("candidate_id", "batch_no", *cols)
-    cand = prepared(raw, "candidate_id", work, "cand")
-    turns = raw.where("candidate_id is not null").groupBy("candidate_id").agg(F.min(F.struct(F.coalesce("batch_no", F.lit(2147483647)), "candidate_id")).alias("ord")).withColumnRenamed("candidate_id", "who")
-    return judged(core, cand, turns, work)[0].select(F.col("who").alias("candidate_id"), "reason")
+def _full(c: DataFrame) -> DataFrame:
+    return c.select("bucket", "cls", "n", F.explode("keys").alias("key"))
+
+
+def _rare(c: DataFrame) -> DataFrame:
+    return c.where("k > 0").select("bucket", "cls", "n", "need", F.explode(F.slice("keys", F.lit(1), F.col("k"))).alias("key"))
 
 
-def _texts(f: DataFrame) -> DataFrame:
-    return f.where("n_words >= 3").select("cls", F.size("grams").alias("n"), "grams").dropDuplicates(["cls"])
+def _met(small: DataFrame, large: DataFrame, ties: bool) -> DataFrame:
+    """Prefixes and full vectors -> (x, y, n), a row for each common sequence; y is larger, or with ties no smaller."""
+    x = small.select("bucket", "key", F.col("cls").alias("x"), "n", "need")
+    y = large.select("bucket", "key", F.col("cls").alias("y"), F.col("n").alias("m"))
+    return x.join(y, ["bucket", "key"]).where("x <> y and " + ("m >= n" if ties else "m > n")).select("x", "y", "n", "need")
 
 
 class History:
     """The kept inverted file: create it from accepted rows, then check and append batch by batch.
 
-    Rows need id, source, source_id, content_hash and clean_content. Tables are appended to, never rewritten; a
-    batch reads only the cells, vectors and keys it has in common with the history (their parquet statistics and
-    the semi-joins on its keys keep the rest away from the comparison)."""
+    Rows need id, source, source_id, content_hash and clean_content. Tables are appended to, never rewritten."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def _append(self, f: DataFrame, ids: DataFrame | None = None) -> None:
-        f = f.join(ids, "who", "left_semi") if ids is not None else f
-        text = _texts(f)
-        rare = prefixes(text, order(self._read("order")), True)
-        parts = {
-            "cells": cells(text).repartitionByRange(8, "key").sortWithinPartitions("key"),
-            "rare": cells(rare).repartitionByRange(8, "key").sortWithinPartitions("key"),
-            "vectors": text.select("cls", "grams").repartitionByRange(8, "cls").sortWithinPartitions("cls"),
-            "keys": f.select(F.explode(F.array("hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")))).alias("tie")).where("tie is not null").distinct(),
-        }
-        for name, df in parts.items():
-            df.write.mode("append").parquet(f"{self.path}/{name}")
+    def _read(self, name: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+
+    def setup(self) -> tuple[int, np.ndarray]:
+        """The number of buckets and the order of sequences, fixed when the history was made."""
+        if not hasattr(self, "_setup"):
+            n = self.spark.read.parquet(f"{self.path}/size").first()[0]
+            self._setup = n, order(self._read("order", "w int, m bigint"))
+        return self._setup
+
+    def vectors(self, texts: DataFrame) -> DataFrame:
+        """texts (cls, grams), each cls once -> rows of CELL."""
+        buckets, levels = self.setup()
+        shared = self.spark.sparkContext.broadcast(levels)
+
+        def run(batches):
+            for b in batches:
+                cls, lists = b.column(0).to_numpy(), b.column(1)
+                n = lists.value_lengths().to_numpy().astype(np.int64)
+                g = lists.flatten().to_numpy()
+                row, place = ranks(n, g, shared.value)
+                need = needed(n)
+                prefix = place < (n - (n * 6 + 9) // 10 + need)[row]
+                bucket = (g.view(np.uint32) % np.uint32(buckets)).astype(np.int64)
+                o = np.lexsort((place, bucket, row))
+                cell, g, prefix = (row * buckets + bucket)[o], g[o], prefix[o]
+                start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
+                r = cell[start] // buckets
+                off = np.append(start, len(g)).astype(np.int32)
+                k = np.add.reduceat(prefix, start) if len(start) else np.zeros(0, int)
+                cols = [(cell[start] % buckets).astype(np.int32), cls[r], n[r].astype(np.int32), need[r].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.ListArray.from_arrays(off, pa.array(g, pa.int32())), pa.array(k.astype(np.int32))], names=["bucket", "cls", "n", "need", "keys", "k"])
+
+        return texts.select("cls", "grams").mapInArrow(run, CELL)
+
+    def _append(self, cells: DataFrame, keys: DataFrame) -> None:
+        cells.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/cells")
+        keys.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
+
+    def _ties(self, f: DataFrame) -> DataFrame:
+        x = f.select(F.explode(F.array("hash", "record", "cls")).alias("tie")).where("tie is not null").distinct()
+        return x.select("tie", F.pmod("tie", F.lit(self.setup()[0])).cast("int").alias("bucket"))
 
     def create(self, rows: DataFrame) -> None:
         work = Work(self.spark, "p6-create")
-        f = prepared(rows, "id", work, "rows")
-        frequencies(_texts(f)).write.parquet(f"{self.path}/order")
-        self._append(f)
+        f = prepared(rows.select("id", *ROWS), "id", work, "rows")
+        text = f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"])
+        total = f.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
+        self.spark.createDataFrame([(max(1, -(-total // BUCKET)),)], "buckets int").write.parquet(f"{self.path}/size")
+        frequencies(f).write.parquet(f"{self.path}/order")
+        self._append(self.vectors(text), self._ties(f))
+        work.drop("rows")
 
     def check(self, batch: DataFrame) -> DataFrame:
         """(id, reason) of the batch's rows that repeat the history or an earlier accepted row of the batch; the
         accepted ones are appended."""
-        work = Work(self.spark, "p6-batch")
-        cand = prepared(batch, "id", work, "rows")
-        text = _texts(cand)
-        own, rare = work.table(cells(text), "cells"), work.table(cells(prefixes(text, order(self._read("order")), True)), "rare")
-        mine = lambda name, of: self._read(name).join(of.select("key").distinct(), "key", "left_semi").select("cls", "n", "need", "key")
-        met = probed(rare, mine("cells", rare).unionByName(own)).unionByName(probed(mine("rare", own), own)).distinct()
+        work = Work(self.spark, "p6-rows")
+        f = prepared(batch.select("id", *ROWS), "id", work, "rows")
+        cells = work.table(self.vectors(f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"])), "vectors")
+        return self.decide(f, cells).withColumnRenamed("who", "id")
+
+    def near(self, own: DataFrame, work: Work) -> DataFrame:
+        """own: the batch's rows of CELL -> (a, b): near texts, a of the batch, b of the history or the batch."""
+        buckets = self.setup()[0]
+        old = _pruned(self._read("cells", CELL), own, buckets)
+        met = _met(_rare(own), _full(old), True).unionByName(_met(_rare(old), _full(own), False)).unionByName(_met(_rare(own), _full(own), True))
+        met = met.groupBy("x", "y").agg(F.count("*").alias("h"), F.min("need").alias("need"), F.min("n").alias("n")).where("h >= need").select("x", "y", "n")
         met = work.table(met, "met")
-        need = met.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        pairs = near(met, self._read("vectors").join(need, "cls", "left_semi").unionByName(text.select("cls", "grams")), work, "near")
-        keys = self._read("keys")
-        # the history stands in as a table of keys alone
-        one = work.table(cand.dropDuplicates(["who"]).select("who", "hash", "record", F.when(F.col("n_words") >= 3, F.col("cls")).alias("cls")).withColumn("ord", F.col("who")), "one")
-        links = one.select("who", "ord", F.inline(F.array(F.struct(F.lit("content_hash").alias("reason"), F.col("hash").alias("tie")), F.struct(F.lit("source_id").alias("reason"), F.col("record").alias("tie")), F.struct(F.lit("near_text").alias("reason"), F.col("cls").alias("tie"))))).where("tie is not null").withColumn("hub", F.lit(True))
-        pair = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        cross = one.select("who", "ord", F.col("cls").alias("a")).join(pair, "a").select("who", "ord", F.lit("near_text").alias("reason"), F.col("b").alias("tie"), F.lit(False).alias("hub"))
-        links = work.table(links.unionByName(cross).distinct(), "links-all")
-        hits = work.table(links.join(keys, "tie", "left_semi").select("who", "reason").distinct(), "hits")
-        rows = one.select("who", "ord").join(hits.select("who").distinct().withColumn("decided", F.lit(True)), "who", "left").withColumn("decided", F.coalesce("decided", F.lit(False)))
-        accepted = work.table(resolved(rows, links.select("who", "tie", "hub"), work), "accepted")
+        need = met.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
+        parts = own.select("bucket", "cls", "keys").unionByName(old.select("bucket", "cls", "keys").join(need, "cls", "left_semi"))
+        x = met.join(parts.select("bucket", F.col("cls").alias("x"), F.col("keys").alias("kx")), "x")
+        both = x.join(parts.select("bucket", F.col("cls").alias("y"), F.col("keys").alias("ky")), ["y", "bucket"])
+        near = both.groupBy("x", "y").agg(F.sum(F.size(F.array_intersect("kx", "ky"))).alias("common"), F.min("n").alias("n")).where("common * 10 >= n * 6")
+        return near.select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b")), F.struct(F.col("y").alias("a"), F.col("x").alias("b")))).alias("p")).select("p.*").distinct()
+
+    def decide(self, f: DataFrame, own: DataFrame) -> DataFrame:
+        """check for prepared rows f (who, hash, record, cls) and their vectors own -> (who, reason), a written table."""
+        work = Work(self.spark, "p6-batch")
+        one = f.select("who", "hash", "record", "cls")
+        why = [("content_hash", "hash"), ("source_id", "record"), ("near_text", "cls")]
+        links = one.select("who", F.inline(F.array(*[F.struct(F.lit(r).alias("reason"), F.col(c).alias("tie")) for r, c in why]))).where("tie is not null").withColumn("hub", F.lit(True))
+        # a row of class a is rejected by rows of class b: the tie of b has the row as one that is no hub
+        cross = one.select("who", F.col("cls").alias("a")).join(self.near(own, work), "a").select("who", F.lit("near_text").alias("reason"), F.col("b").alias("tie"), F.lit(False).alias("hub"))
+        links = links.unionByName(cross).distinct().withColumn("bucket", F.pmod("tie", F.lit(self.setup()[0])).cast("int"))
+        links = work.table(links, "links")
+        keys = _pruned(self._read("keys", "tie bigint, bucket int"), links, self.setup()[0])
+        hits = work.table(links.join(keys, ["bucket", "tie"], "left_semi").select("who", "reason").distinct(), "hits")
+        rows = one.select("who", F.col("who").alias("ord")).join(hits.select("who").distinct().withColumn("decided", F.lit(True)), "who", "left").withColumn("decided", F.coalesce("decided", F.lit(False)))
+        accepted = resolved(rows, links.select("who", "tie", "hub"), work)
+        # reasons of the rejected: the first accepted row of the tie came earlier
         x = links.join(accepted, "who")
-        first = x.where("hub and accepted").groupBy("tie").agg(F.min("ord").alias("first"))
-        reasons = work.table(hits.unionByName(x.join(first, "tie").where("first < ord").select("who", "reason")).distinct(), "reasons")
-        self._append(cand, accepted.where("accepted").select("who"))
-        return reasons.withColumnRenamed("who", "id")
+        first = x.where("hub and accepted").groupBy("tie").agg(F.min("who").alias("first"))
+        reasons = work.table(hits.unionByName(x.join(first, "tie").where("first < who").select("who", "reason")).distinct(), "reasons")
+        new = one.join(accepted.where("accepted"), "who", "left_semi")
+        self._append(own.join(new.select("cls").distinct(), "cls", "left_semi").select("bucket", "cls", "n", "need", "keys", "k"), self._ties(new))
+        work.drop("met", "links", "hits")
+        return reasons
+
+
+def batches(core: DataFrame, candidates: DataFrame, path: str, work: Work) -> DataFrame:
+    """core (id, ...) and candidates (candidate_id, batch_no, ...) -> (candidate_id, reason), through a history at path."""
+    spark = core.sparkSession
+    history = History(spark, path)
+    history.create(core)
+    cand = candidates.select("candidate_id", F.coalesce("batch_no", F.lit(LAST)).alias("turn"), *ROWS)
+    f = prepared(cand, "candidate_id", work, "candidates", ("turn",))
+    # the order of sequences doesn't change, so the vectors of all batches are made in one pass
+    text = f.where("cls is not null").groupBy("turn", "cls").agg(F.first("grams").alias("grams"))
+    own = work.table(history.vectors(text.groupBy("cls").agg(F.first("grams").alias("grams"))).join(text.select("turn", "cls"), "cls"), "vectors")
+    out = spark.createDataFrame([], "who bigint, reason string")
+    for turn in [r[0] for r in f.select("turn").distinct().orderBy("turn").collect()]:
+        out = out.unionByName(history.decide(f.where(F.col("turn") == turn), own.where(F.col("turn") == turn).drop("turn")))
+    return out.withColumnRenamed("who", "candidate_id")
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """(candidate_id, reason)."""
+    work = Work(spark, "p6")
+    core, cand = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("core_documents", "candidates"))
+    return batches(core, cand, work.path("history"), work)

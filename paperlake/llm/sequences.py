@@ -61,6 +61,15 @@ def needed(n):
     return np.minimum(MEET, (n * 6 + 9) // 10)
 
 
+def ranks(n: np.ndarray, g: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of n sequences each, laid end to end as g: the row of each and its place in the order within its row."""
+    row = np.repeat(np.arange(len(n)), n)
+    o = np.lexsort((g, levels[_at(g)], row))
+    place = np.empty(len(g), np.int64)
+    place[o] = np.arange(len(g)) - np.repeat(np.cumsum(n) - n, n)
+    return row, place
+
+
 def prefixes(f: DataFrame, levels: np.ndarray, alone: bool) -> DataFrame:
     """f (cls, grams) -> (cls, n, grams): the prefix of each text; alone: with sequences that no other text has."""
     shared = f.sparkSession.sparkContext.broadcast(levels)
