@@ -143,6 +143,7 @@ def checked(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     left = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
     both = left.join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     sizes = (F.size(F.array_intersect("ga", "gb")).alias("common"), F.least(F.size("ga"), F.size("gb")).alias("least"), F.greatest(F.size("ga"), F.size("gb")).alias("most"))
+    work.drop("texts")
     return work.table(both.select(F.col("a").alias("cls_a"), F.col("b").alias("cls_b"), *sizes).where("common * 10 >= least * 6"), "near")
 
 

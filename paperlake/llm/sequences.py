@@ -22,6 +22,7 @@ from .work import Work
 MEET = 20  # sequences of the prefix that must be shared; more make longer prefixes and fewer pairs
 BLOCK = 1 << 21  # sequences of one broadcast block
 COUNTER_BITS = 22  # counters of frequencies, 4 bits each: 2 MB broadcast; texts whose counters clash only rank worse
+CHUNKS = 64  # parts of the counters, merged apart
 EXPANDED = 4_000_000  # looked-up rows in memory at once
 
 
@@ -31,21 +32,31 @@ def _at(g: np.ndarray) -> np.ndarray:
 
 def frequencies(f: DataFrame) -> DataFrame:
     """(w, m): 16 counters of 4 bits a row, the rounded logarithm of how many of the texts f (grams) have a sequence of
-    that counter; 0: one text at most."""
+    that counter; 0: one text at most. Every task sends its counters once, as CHUNKS arrays of 16-bit counts (a count
+    that fills one is at the highest level anyway)."""
+    size = 1 << COUNTER_BITS
 
-    def run(batches):
-        count = np.zeros(1 << COUNTER_BITS, np.int32)
+    def count(batches):
+        c = np.zeros(size, np.int32)
+        for b in batches:
+            c += np.bincount(_at(b.column(0).flatten().to_numpy()), minlength=size).astype(np.int32)
+        c = np.minimum(c, 65535).astype(np.uint16).reshape(CHUNKS, -1)
+        some = np.flatnonzero(c.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([c[i].tobytes() for i in some], pa.binary())], names=["chunk", "counts"])
+
+    def levels(batches):
+        held: dict[int, np.ndarray] = {}
         for b in batches:
-            count += np.bincount(_at(b.column(0).flatten().to_numpy()), minlength=1 << COUNTER_BITS).astype(np.int32)
-        b = np.flatnonzero(count)
-        for lo in range(0, len(b), 100_000):
-            part = b[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(count[part])], names=["b", "c"])
-
-    c = f.select("grams").mapInArrow(run, "b int, c int").groupBy("b").agg(F.sum("c").alias("c"))
-    level = F.least(F.lit(15), F.floor(F.log2("c") * 1.5 + 0.001)).cast("bigint")
-    c = c.select(F.shiftright("b", 4).alias("w"), F.col("b").bitwiseAND(F.lit(15)).alias("i"), level.alias("level"))
-    return c.groupBy("w").agg(F.bit_or(F.expr("shiftleft(level, i * 4)")).alias("m"))
+            for i, x in zip(b.column(0).to_pylist(), b.column(1)):
+                part = np.frombuffer(x.as_buffer(), np.uint16).astype(np.int64)
+                held[i] = held[i] + part if i in held else part
+        for i, c in held.items():
+            level = np.minimum(15, np.floor(np.log2(np.maximum(c, 1)) * 1.5 + 0.001)).astype(np.int64).reshape(-1, 16)
+            m = np.bitwise_or.reduce(level << (np.arange(16) * 4), axis=1)
+            w = np.flatnonzero(m)
+            yield pa.RecordBatch.from_arrays([pa.array((w + i * len(m)).astype(np.int32)), pa.array(m[w])], names=["w", "m"])
+
+    return f.select("grams").mapInArrow(count, "chunk int, counts binary").repartition("chunk").mapInArrow(levels, "w int, m bigint")
 
 
 def order(rows: DataFrame) -> np.ndarray:
