@@ -122,7 +122,7 @@ def one_each(f: DataFrame, work: Work) -> DataFrame:
     sequences themselves aren't shuffled where these are few."""
     first = f.groupBy("cls").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").select("cls", "first")
     more = work.table(f.select("cls", "row").join(work.table(first, "firsts"), "cls").where("row > first").select("row"), "more")
-    return work.table(f.select("tbl", "cls", "grams", "row").join(more, "row", "left_anti").drop("row"), "texts")
+    return f.select("tbl", "cls", "grams", "row").join(more, "row", "left_anti").drop("row")
 
 
 def near_classes(f: DataFrame, work: Work) -> DataFrame:
@@ -143,7 +143,6 @@ def checked(pairs: DataFrame, texts: DataFrame, work: Work) -> DataFrame:
     left = pairs.join(grams.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a")
     both = left.join(grams.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     sizes = (F.size(F.array_intersect("ga", "gb")).alias("common"), F.least(F.size("ga"), F.size("gb")).alias("least"), F.greatest(F.size("ga"), F.size("gb")).alias("most"))
-    work.drop("texts")
     return work.table(both.select(F.col("a").alias("cls_a"), F.col("b").alias("cls_b"), *sizes).where("common * 10 >= least * 6"), "near")
 
 
