@@ -1,15 +1,17 @@
-"""TF-IDF over words and word pairs, in SQL operators: sublinear counts, smooth idf, unit length."""
+"""TF-IDF over words (lower case, without accents) and word pairs, in SQL operators: sublinear counts, smooth idf, unit length."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import unaccented
+
 MIN_DF, MAX_DF, MAX_FEATURES = 2, 0.95, 50_000
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]{2,}"), 0)
+    return F.regexp_extract_all(unaccented(F.lower(text)), F.lit("[a-z0-9]{2,}"), 0)
 
 
 def grams(text: Column, pairs: bool = True) -> Column:
@@ -32,10 +34,11 @@ def vocabulary(tf: DataFrame, ident: str, docs: int) -> DataFrame:
     return top.select("term", (F.log(F.lit(1.0 + docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
 
-def weights(docs: DataFrame, ident: str, text: str, pairs: bool = True) -> DataFrame:
-    """(ident, term, w), each row of unit length. The vocabulary has at most MAX_FEATURES rows, so it is broadcast."""
+def weights(docs: DataFrame, ident: str, text: str, pairs: bool = True, vocab: DataFrame | None = None) -> DataFrame:
+    """(ident, term, w), each row of unit length, over the vocabulary of docs or a given one. A vocabulary has at most
+    MAX_FEATURES rows, so it is broadcast."""
     tf = counts(docs, ident, text, pairs)
-    n = docs.count()
-    raw = tf.join(F.broadcast(vocabulary(tf, ident, n)), "term").select(ident, "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("w"))
+    vocab = vocabulary(tf, ident, docs.count()) if vocab is None else vocab
+    raw = tf.join(F.broadcast(vocab), "term").select(ident, "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(ident)))
     return raw.select(ident, "term", (F.col("w") / norm).alias("w"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.chunking import chunked, hard_split, sections
-from ..operators.parsing import html_blocks
+from ..operators.html import html_blocks
 from ..sources.tables import documents, table, usable
 from .registry import query
 

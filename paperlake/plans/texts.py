@@ -68,7 +68,7 @@ FEATURES_SQL = f"""SELECT id, t, length(t) AS chars, len(regexp_extract_all(t, '
     len(list_filter({PIECES}, lambda x: regexp_matches(regexp_replace(x, '^[^A-Za-z]+|[^A-Za-z]+$', '', 'g'), '^[B-HJ-Zb-hj-z]$'))) AS single,
     len(regexp_extract_all(t, '\\b[B-HJ-Z]\\s+[a-z]{{5,}}\\b')) AS split,
     len(list_filter({PIECES}, lambda x: regexp_matches(x, '{Q.BROKEN}'))) AS broken
-    FROM (SELECT id, {squeeze_sql('chunk_text')} AS t FROM {CHUNKS})"""
+    FROM (SELECT id, {squeeze_sql("coalesce(chunk_text, '')")} AS t FROM {CHUNKS})"""
 GATE_SQL = f"""SELECT id, list_filter([CASE WHEN chars < 160 THEN 'too_short_chars' END, CASE WHEN words < 30 THEN 'too_few_words' END, CASE WHEN alpha < 0.5 THEN 'low_alpha' END, CASE WHEN run >= 3 THEN 'letter_run' END,
     CASE WHEN single >= 6 AND single::DOUBLE / n >= 0.05 THEN 'single_letters' END, CASE WHEN split >= 3 THEN 'split_words' END, CASE WHEN broken >= 2 THEN 'broken_tokens' END, CASE WHEN weird > 0.12 THEN 'weird_signs' END,
     CASE WHEN contains(t, chr(65533)) THEN 'replacement_chars' END, CASE WHEN regexp_matches(lower(t), '^(?:\\[figure|\\[fig\\.|figure caption)') AND words < 120 THEN 'figure_caption' END], lambda x: x IS NOT NULL) AS reasons,
@@ -77,17 +77,17 @@ GATE_SQL = f"""SELECT id, list_filter([CASE WHEN chars < 160 THEN 'too_short_cha
 
 
 def gated(spark, sf):
-    return chunk_columns(spark, sf, "chunk_text").select("id", Q.gate(F.col("chunk_text")).alias("g"))
+    return Q.gated(chunk_columns(spark, sf, "chunk_text"), "chunk_text").select("id", "accepted", "score", "reasons")
 
 
 @query(f"SELECT id, len(reasons) = 0 AND score >= 0.7 AS accepted, score, array_to_string(reasons, ',') AS reasons FROM ({GATE_SQL})")
 def quality_gate(spark, sf):
-    return gated(spark, sf).select("id", "g.accepted", "g.score", F.array_join("g.reasons", ",").alias("reasons"))
+    return gated(spark, sf).withColumn("reasons", F.array_join("reasons", ","))
 
 
 @query(f"SELECT r AS reason, count(*) AS n FROM (SELECT unnest(reasons) AS r FROM ({GATE_SQL})) GROUP BY 1")
 def quality_reasons(spark, sf):
-    return gated(spark, sf).select(F.explode("g.reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return gated(spark, sf).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -43,9 +43,9 @@ def length_reduction(spark, sf):
     return d.select("id", F.length("raw_content").alias("raw_chars"), F.length("clean_content").alias("clean_chars"), F.round((1 - F.length("clean_content").cast("double") / F.nullif(F.length("raw_content"), F.lit(0))) * 100, 2).alias("reduction"))
 
 
-@query("SELECT id, source_id, length(clean_content) AS chars FROM core_documents WHERE clean_content IS NOT NULL AND length(clean_content) < 500")
+@query("SELECT id, source_id, length(clean_content) AS chars FROM core_documents WHERE clean_content IS NOT NULL AND length(clean_content) < 5000")
 def short_docs(spark, sf):
-    return documents(spark, sf).where(F.length("clean_content") < 500).select("id", "source_id", F.length("clean_content").alias("chars"))
+    return documents(spark, sf).where(F.length("clean_content") < 5000).select("id", "source_id", F.length("clean_content").alias("chars"))
 
 
 @query("SELECT id, char_count, length(clean_content) AS actual FROM core_documents WHERE char_count IS DISTINCT FROM length(clean_content)")
