@@ -1,17 +1,19 @@
-"""Problem 6: new batches checked against everything accepted before, without a pass over the history.
+"""Problem 6: new batches checked against everything accepted before, without a pass over the stored texts.
 
 ``History`` is a persisted inverted file under one folder. A text's vector is its set of three-word sequences, in a
-fixed order from rare to frequent; the cells are buckets of sequences, and a text's vector lies in them by parts:
-* ``cells`` (partitioned by bucket): cls, n, need, keys, k: the text's sequences of this bucket, rarest first; the first
-  k of them belong to its prefix. All parts together are the full vector,
+fixed order from rare to frequent:
+* ``cells``: vectors of up to CELL texts each, texts with a common least hash side by side; a cell is one row that holds
+  its full vectors as an inverted list (sequences in rising order, with the text each belongs to),
+* ``bounds``: for each cell the bitmaps of all its sequences and of those in its texts' prefixes,
 * ``keys`` (partitioned by bucket): content hashes, source records and texts (as word sequences) of accepted rows,
 * ``order``: the order of sequences, made at the start and never changed (any order is right, this one is fast).
 
 The bound of the probing: two texts are near if they share 0.6 of the smaller one's n sequences. If a text has
-met fewer than k of the n - ceil(0.6 n) + k rarest sequences of the smaller one, the two can't be near. So a new text
-probes the cells of its own prefix for larger texts, and the prefixes in the cells of all its sequences for smaller ones,
-and no further; what meets often enough is compared exactly on the full vectors. Cells are partitions of the table, so
-a batch reads the buckets of its own sequences only; their number follows from the size of the first history.
+fewer than k of the n - ceil(0.6 n) + k rarest sequences of the smaller one (its prefix), the two can't be near. So a new
+text looks up its prefix for larger texts, and all its sequences among the prefixes for smaller ones. The bitmaps tell
+first in how many of them a cell can share at all: cells in which no text of the batch can reach k aren't read. In the
+other cells the hits are counted text by text, and what has enough of them is compared exactly on the full vectors, in
+the same task. Nothing is shuffled but near pairs. Accepted texts are appended as new cells.
 
 Candidates are decided in the order of batch_no and candidate_id: a candidate has a reason if it matches a row
 of the core or an earlier candidate without a reason. Batches go one after the other; the accepted rows of each are
@@ -33,9 +35,14 @@ from .p4_splits import source_key
 from .sequences import frequencies, needed, order, ranks
 from .work import Work
 
-BUCKET = 1 << 20  # sequences of a bucket when the history is made
+CELL, CELL_KEYS = 4096, 1 << 21  # texts and sequences of a cell, at most (a longer text is a cell of its own)
+BUCKET = 1 << 16  # keys of a bucket when the history is made
+BITS = 19  # of a bitmap: 64 KB
+BLOCK = 1 << 21  # sequences of the part of a batch that is looked up at once
+FEW = 1000  # so many cells are named to the reader; more are picked by a join
 LAST = 2147483647
-CELL = "bucket int, cls bigint, n int, need int, keys array<int>, k int"
+CELL_SCHEMA = "cell bigint, cls array<bigint>, n array<int>, keys binary, at binary"
+BOUND_SCHEMA = "cell bigint, least int, full binary, rare binary"
 ROWS = ["source", "source_id", "content_hash", "clean_content"]
 
 
@@ -92,19 +99,109 @@ def _pruned(df: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
     return df if len(mine) == buckets else df.where(F.col("bucket").isin(mine) if mine else F.lit(False))
 
 
-def _full(c: DataFrame) -> DataFrame:
-    return c.select("bucket", "cls", "n", F.explode("keys").alias("key"))
-
-
-def _rare(c: DataFrame) -> DataFrame:
-    return c.where("k > 0").select("bucket", "cls", "n", "need", F.explode(F.slice("keys", F.lit(1), F.col("k"))).alias("key"))
-
-
-def _met(small: DataFrame, large: DataFrame, ties: bool) -> DataFrame:
-    """Prefixes and full vectors -> (x, y, n), a row for each common sequence; y is larger, or with ties no smaller."""
-    x = small.select("bucket", "key", F.col("cls").alias("x"), "n", "need")
-    y = large.select("bucket", "key", F.col("cls").alias("y"), F.col("n").alias("m"))
-    return x.join(y, ["bucket", "key"]).where("x <> y and " + ("m >= n" if ties else "m > n")).select("x", "y", "n", "need")
+def _bits(keys: np.ndarray) -> np.ndarray:
+    out = np.zeros(1 << BITS, bool)
+    out[keys & ((1 << BITS) - 1)] = True
+    return out
+
+
+class Batch:
+    """Vectors of a batch's texts (or a block of them), ready to be looked up: cls, n and need of each text, the sequences
+    of all, and those of the prefixes, each with its text."""
+
+    def __init__(self, cls, n, row, keys, place):
+        self.cls, self.n, self.need = cls, n, needed(n)
+        self.row, self.keys = row, keys
+        prefix = place < (n - (n * 6 + 9) // 10 + self.need)[row]
+        self.prefix_row, self.prefix_keys = row[prefix], keys[prefix]
+        self.start = np.concatenate([[0], np.cumsum(n)])
+
+    def reachable(self, least: int, full: np.ndarray, rare: np.ndarray) -> bool:
+        """Whether a cell with these bitmaps can hold a text near to one of these."""
+        mask = (1 << BITS) - 1
+        large = np.bincount(self.prefix_row, full[self.prefix_keys & mask], len(self.n)) >= self.need
+        small = np.bincount(self.row, rare[self.keys & mask], len(self.n)) >= least
+        return bool(large.any() or small.any())
+
+    def near(self, cls, n, keys, at):
+        """Pairs (text of this, text of the cell) with enough hits and near in full; at: text of the cell and, in its
+        highest bit, whether the sequence belongs to its prefix."""
+        rare, text = at >> 15 == 1, (at & 0x7FFF).astype(np.int64)
+        need = needed(n)
+        size = len(cls)
+        rare_keys, rare_text = keys[rare], text[rare]
+        step = max(1, (1 << 23) // size)  # counters at once
+        for lo in range(0, len(self.n), step):
+            hi = min(lo + step, len(self.n))
+            mine = slice(lo, hi)
+            large = self._hits(self.prefix_row, self.prefix_keys, keys, text, lo, hi, size)
+            ok = (large >= self.need[mine, None]) & (n[None, :] >= self.n[mine, None])
+            small = self._hits(self.row, self.keys, rare_keys, rare_text, lo, hi, size)
+            ok |= (small >= need[None, :]) & (n[None, :] < self.n[mine, None])
+            ok &= self.cls[mine, None] != cls[None, :]
+            i, j = np.nonzero(ok)
+            if not len(i):
+                continue
+            o = np.argsort(text, kind="stable")
+            first = np.searchsorted(text[o], np.arange(size + 1))
+            for x, y in zip(i + lo, j):
+                common = len(np.intersect1d(self.keys[self.start[x] : self.start[x + 1]], keys[o[first[y] : first[y + 1]]], True))
+                if common * 10 >= min(self.n[x], n[y]) * 6:
+                    yield self.cls[x], cls[y]
+
+    @staticmethod
+    def _hits(row, mine, keys, text, lo, hi, size) -> np.ndarray:
+        """How many of the sequences of texts lo to hi each text of the cell has."""
+        a, b = np.searchsorted(row, [lo, hi])
+        mine, row = mine[a:b], row[a:b] - lo
+        o = np.argsort(mine, kind="stable")
+        mine, row = mine[o], row[o]
+        left, right = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
+        m = right - left
+        out = np.zeros((hi - lo) * size, np.int32)
+        ends = np.cumsum(m)
+        k = 0
+        while k < len(m):  # in parts, so that many hits don't fill the memory
+            stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + 4_000_000, "right")))
+            w = m[k:stop]
+            j = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(left[k:stop], w)
+            out += np.bincount(np.repeat(row[k:stop], w) * size + text[j], minlength=len(out)).astype(np.int32)
+            k = stop
+        return out.reshape(hi - lo, size)
+
+
+def cells(texts: DataFrame, levels: np.ndarray) -> DataFrame:
+    """texts (cls, grams), each cls once -> rows of CELL_SCHEMA and BOUND_SCHEMA. Texts come sorted by their least hash."""
+    shared = texts.sparkSession.sparkContext.broadcast(levels)
+
+    def row(cls, lists):
+        n = np.array([len(x) for x in lists], np.int64)
+        g = np.concatenate(lists)
+        r, place = ranks(n, g, shared.value)
+        need = needed(n)
+        rare = place < (n - (n * 6 + 9) // 10 + need)[r]
+        o = np.lexsort((r, g))
+        at = (r | rare.astype(np.int64) << 15).astype(np.uint16)[o]
+        cell = int(np.bitwise_xor.reduce(cls) >> 1)
+        cols = [[cell], [cls.tolist()], [n.tolist()], [g[o].tobytes()], [at.tobytes()], [int(need.min())], [np.packbits(_bits(g)).tobytes()], [np.packbits(_bits(g[rare])).tobytes()]]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["cell", "cls", "n", "keys", "at", "least", "full", "rare"])
+
+    def run(batches):
+        cls, lists, total = [], [], 0
+        for b in batches:
+            for c, x in zip(b.column(0).to_pylist(), b.column(1)):
+                g = x.values.to_numpy()
+                if cls and (len(cls) >= CELL or total + len(g) > CELL_KEYS):
+                    yield row(np.array(cls), lists)
+                    cls, lists, total = [], [], 0
+                cls.append(c)
+                lists.append(g)
+                total += len(g)
+        if cls:
+            yield row(np.array(cls), lists)
+
+    return texts.select("cls", "grams").mapInArrow(run, f"{CELL_SCHEMA}, {BOUND_SCHEMA.split(', ', 1)[1]}")
 
 
 class History:
@@ -125,33 +222,16 @@ class History:
             self._setup = n, order(self._read("order", "w int, m bigint"))
         return self._setup
 
-    def vectors(self, texts: DataFrame) -> DataFrame:
-        """texts (cls, grams), each cls once -> rows of CELL."""
-        buckets, levels = self.setup()
-        shared = self.spark.sparkContext.broadcast(levels)
+    def cells(self, texts: DataFrame, work: Work, name: str) -> DataFrame:
+        """Written cells of texts (cls, grams), each cls once; near texts, with the same least hash, stand together."""
+        n = -(-max(1, texts.count()) // CELL)
+        least = texts.select("cls", "grams", F.array_min("grams").alias("_least"))
+        sorted_ = least.repartitionByRange(n, "_least", "cls").sortWithinPartitions("_least", "cls") if n > 1 else least.coalesce(1)
+        return work.table(cells(sorted_, self.setup()[1]), name)
 
-        def run(batches):
-            for b in batches:
-                cls, lists = b.column(0).to_numpy(), b.column(1)
-                n = lists.value_lengths().to_numpy().astype(np.int64)
-                g = lists.flatten().to_numpy()
-                row, place = ranks(n, g, shared.value)
-                need = needed(n)
-                prefix = place < (n - (n * 6 + 9) // 10 + need)[row]
-                bucket = (g.view(np.uint32) % np.uint32(buckets)).astype(np.int64)
-                o = np.lexsort((place, bucket, row))
-                cell, g, prefix = (row * buckets + bucket)[o], g[o], prefix[o]
-                start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, int)
-                r = cell[start] // buckets
-                off = np.append(start, len(g)).astype(np.int32)
-                k = np.add.reduceat(prefix, start) if len(start) else np.zeros(0, int)
-                cols = [(cell[start] % buckets).astype(np.int32), cls[r], n[r].astype(np.int32), need[r].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.ListArray.from_arrays(off, pa.array(g, pa.int32())), pa.array(k.astype(np.int32))], names=["bucket", "cls", "n", "need", "keys", "k"])
-
-        return texts.select("cls", "grams").mapInArrow(run, CELL)
-
-    def _append(self, cells: DataFrame, keys: DataFrame) -> None:
-        cells.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/cells")
+    def _append(self, c: DataFrame, keys: DataFrame) -> None:
+        c.select("cell", "cls", "n", "keys", "at").write.mode("append").option("parquet.block.size", 1 << 24).parquet(f"{self.path}/cells")
+        c.select("cell", "least", "full", "rare").write.mode("append").parquet(f"{self.path}/bounds")
         keys.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
 
     def _ties(self, f: DataFrame) -> DataFrame:
@@ -161,44 +241,82 @@ class History:
     def create(self, rows: DataFrame) -> None:
         work = Work(self.spark, "p6-create")
         f = prepared(rows.select("id", *ROWS), "id", work, "rows")
-        text = f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"])
-        total = f.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
-        self.spark.createDataFrame([(max(1, -(-total // BUCKET)),)], "buckets int").write.parquet(f"{self.path}/size")
+        n = f.count()
+        self.spark.createDataFrame([(max(1, -(-3 * n // BUCKET)),)], "buckets int").write.parquet(f"{self.path}/size")
         frequencies(f).write.parquet(f"{self.path}/order")
-        self._append(self.vectors(text), self._ties(f))
-        work.drop("rows")
+        self._append(self.cells(f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"]), work, "cells"), self._ties(f))
+        work.drop("rows", "cells")
 
     def check(self, batch: DataFrame) -> DataFrame:
         """(id, reason) of the batch's rows that repeat the history or an earlier accepted row of the batch; the
         accepted ones are appended."""
         work = Work(self.spark, "p6-rows")
-        f = prepared(batch.select("id", *ROWS), "id", work, "rows")
-        cells = work.table(self.vectors(f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"])), "vectors")
-        return self.decide(f, cells).withColumnRenamed("who", "id")
-
-    def near(self, own: DataFrame, work: Work) -> DataFrame:
-        """own: the batch's rows of CELL -> (a, b): near texts, a of the batch, b of the history or the batch."""
-        buckets = self.setup()[0]
-        old = _pruned(self._read("cells", CELL), own, buckets)
-        met = _met(_rare(own), _full(old), True).unionByName(_met(_rare(old), _full(own), False)).unionByName(_met(_rare(own), _full(own), True))
-        met = met.groupBy("x", "y").agg(F.count("*").alias("h"), F.min("need").alias("need"), F.min("n").alias("n")).where("h >= need").select("x", "y", "n")
-        met = work.table(met, "met")
-        need = met.select(F.explode(F.array("x", "y")).alias("cls")).distinct()
-        parts = own.select("bucket", "cls", "keys").unionByName(old.select("bucket", "cls", "keys").join(need, "cls", "left_semi"))
-        x = met.join(parts.select("bucket", F.col("cls").alias("x"), F.col("keys").alias("kx")), "x")
-        both = x.join(parts.select("bucket", F.col("cls").alias("y"), F.col("keys").alias("ky")), ["y", "bucket"])
-        near = both.groupBy("x", "y").agg(F.sum(F.size(F.array_intersect("kx", "ky"))).alias("common"), F.min("n").alias("n")).where("common * 10 >= n * 6")
-        return near.select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b")), F.struct(F.col("y").alias("a"), F.col("x").alias("b")))).alias("p")).select("p.*").distinct()
-
-    def decide(self, f: DataFrame, own: DataFrame) -> DataFrame:
-        """check for prepared rows f (who, hash, record, cls) and their vectors own -> (who, reason), a written table."""
+        return self.decide(prepared(batch.select("id", *ROWS), "id", work, "rows")).withColumnRenamed("who", "id")
+
+    def _blocks(self, texts: DataFrame):
+        """The texts (cls, grams) as Batch objects of at most BLOCK sequences, about."""
+        total = texts.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0))).first()[0]
+        parts = -(-total // BLOCK)
+        for i in range(parts):
+            t = (texts.where(F.pmod(F.xxhash64("cls"), F.lit(parts)) == i) if parts > 1 else texts).toArrow().combine_chunks()
+            if t.num_rows:
+                lists = t["grams"].combine_chunks()
+                n, g = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy()
+                row, place = ranks(n, g, self.setup()[1])
+                yield Batch(t["cls"].to_numpy(), n, row, g, place)
+
+    def reached(self, shared) -> DataFrame:
+        """(cell): the cells of the history that can hold a text near to one of the batch."""
+
+        def run(batches):
+            for b in batches:
+                full, rare = ([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8)).view(bool) for x in b.column(k)] for k in (2, 3))
+                keep = [shared.value.reachable(least, f, r) for least, f, r in zip(b.column(1).to_pylist(), full, rare)]
+                yield b.filter(pa.array(keep, pa.bool_())).select(["cell"])
+
+        return self._read("bounds", BOUND_SCHEMA).mapInArrow(run, "cell bigint")
+
+    def near(self, texts: DataFrame, own: DataFrame) -> DataFrame | None:
+        """texts (cls, grams) of a batch and their cells -> (a, b): near texts, a of the batch, b of the history or the batch."""
+        out = None
+        for block in self._blocks(texts):
+            shared = self.spark.sparkContext.broadcast(block)
+
+            def run(batches, shared=shared):
+                for b in batches:
+                    pairs = []
+                    for i in range(b.num_rows):
+                        cls, n = (b.column(k)[i].values.to_numpy() for k in (1, 2))
+                        keys, at = (np.frombuffer(b.column(k)[i].as_buffer(), t) for k, t in ((3, np.int32), (4, np.uint16)))
+                        pairs += shared.value.near(cls, n.astype(np.int64), keys, at)
+                    a, c = zip(*pairs) if pairs else ((), ())
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
+
+            which = [r[0] for r in self.reached(shared).limit(FEW + 1).collect()]
+            old = self._read("cells", CELL_SCHEMA)
+            if len(which) > FEW:
+                old = old.join(self.reached(shared), "cell", "left_semi").select("cell", "cls", "n", "keys", "at")
+            else:
+                old = old.where(F.col("cell").isin(which) if which else F.lit(False))
+            met = old.unionByName(own.select("cell", "cls", "n", "keys", "at")).mapInArrow(run, "a bigint, b bigint")
+            out = met if out is None else out.unionByName(met)
+        if out is None:
+            return None
+        return out.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select("p.*").distinct()
+
+    def decide(self, f: DataFrame) -> DataFrame:
+        """check for prepared rows f (who, hash, record, cls, grams) -> (who, reason), a written table."""
         work = Work(self.spark, "p6-batch")
+        texts = f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"])
+        own = self.cells(texts, work, "own")
         one = f.select("who", "hash", "record", "cls")
         why = [("content_hash", "hash"), ("source_id", "record"), ("near_text", "cls")]
         links = one.select("who", F.inline(F.array(*[F.struct(F.lit(r).alias("reason"), F.col(c).alias("tie")) for r, c in why]))).where("tie is not null").withColumn("hub", F.lit(True))
-        # a row of class a is rejected by rows of class b: the tie of b has the row as one that is no hub
-        cross = one.select("who", F.col("cls").alias("a")).join(self.near(own, work), "a").select("who", F.lit("near_text").alias("reason"), F.col("b").alias("tie"), F.lit(False).alias("hub"))
-        links = links.unionByName(cross).distinct().withColumn("bucket", F.pmod("tie", F.lit(self.setup()[0])).cast("int"))
+        pairs = self.near(texts, own)
+        if pairs is not None:
+            # a row of class a is rejected by rows of class b: the tie of b has the row as one that is no hub
+            links = links.unionByName(one.select("who", F.col("cls").alias("a")).join(pairs, "a").select("who", F.lit("near_text").alias("reason"), F.col("b").alias("tie"), F.lit(False).alias("hub")))
+        links = links.distinct().withColumn("bucket", F.pmod("tie", F.lit(self.setup()[0])).cast("int"))
         links = work.table(links, "links")
         keys = _pruned(self._read("keys", "tie bigint, bucket int"), links, self.setup()[0])
         hits = work.table(links.join(keys, ["bucket", "tie"], "left_semi").select("who", "reason").distinct(), "hits")
@@ -208,9 +326,9 @@ class History:
         x = links.join(accepted, "who")
         first = x.where("hub and accepted").groupBy("tie").agg(F.min("who").alias("first"))
         reasons = work.table(hits.unionByName(x.join(first, "tie").where("first < who").select("who", "reason")).distinct(), "reasons")
-        new = one.join(accepted.where("accepted"), "who", "left_semi")
-        self._append(own.join(new.select("cls").distinct(), "cls", "left_semi").select("bucket", "cls", "n", "need", "keys", "k"), self._ties(new))
-        work.drop("met", "links", "hits")
+        new = f.join(accepted.where("accepted"), "who", "left_semi")
+        self._append(self.cells(new.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"]), work, "new"), self._ties(new))
+        work.drop("own", "new", "links", "hits")
         return reasons
 
 
@@ -221,12 +339,9 @@ def batches(core: DataFrame, candidates: DataFrame, path: str, work: Work) -> Da
     history.create(core)
     cand = candidates.select("candidate_id", F.coalesce("batch_no", F.lit(LAST)).alias("turn"), *ROWS)
     f = prepared(cand, "candidate_id", work, "candidates", ("turn",))
-    # the order of sequences doesn't change, so the vectors of all batches are made in one pass
-    text = f.where("cls is not null").groupBy("turn", "cls").agg(F.first("grams").alias("grams"))
-    own = work.table(history.vectors(text.groupBy("cls").agg(F.first("grams").alias("grams"))).join(text.select("turn", "cls"), "cls"), "vectors")
     out = spark.createDataFrame([], "who bigint, reason string")
     for turn in [r[0] for r in f.select("turn").distinct().orderBy("turn").collect()]:
-        out = out.unionByName(history.decide(f.where(F.col("turn") == turn), own.where(F.col("turn") == turn).drop("turn")))
+        out = out.unionByName(history.decide(f.where(F.col("turn") == turn).drop("turn")))
     return out.withColumnRenamed("who", "candidate_id")
 
 
