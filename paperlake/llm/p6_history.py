@@ -16,8 +16,8 @@ other cells the hits are counted text by text, and what has enough of them is co
 the same task. Nothing is shuffled but near pairs. Accepted texts are appended as new cells.
 
 Candidates are decided in the order of batch_no and candidate_id: a candidate has a reason if it matches a row
-of the core or an earlier candidate without a reason. Batches go one after the other; the accepted rows of each are
-appended. The links within a batch are resolved in rounds, each deciding all whose earlier links are decided; keys shared
+of the core or an earlier candidate without a reason. Batches go one after the other (small ones together, up to AT_ONCE rows,
+which gives the same); the accepted rows of each are appended. The links within a batch are resolved in rounds, each deciding all whose earlier links are decided; keys shared
 by many rows are resolved by their first accepted row, not by pairs.
 
 Repeated candidates count once. Null, empty and blank texts, hashes and ids match nothing. A null batch_no is the last.
@@ -39,6 +39,7 @@ CELL, CELL_KEYS = 4096, 1 << 21  # texts and sequences of a cell, at most (a lon
 BUCKET = 1 << 16  # keys of a bucket when the history is made
 BITS = 19  # of a bitmap: 64 KB
 BLOCK = 1 << 21  # sequences of the part of a batch that is looked up at once
+AT_ONCE = 8192  # rows of consecutive batches that are decided in one call, about: the order of rows decides, so nothing changes
 FEW = 1000  # so many cells are named to the reader; more are picked by a join
 LAST = 2147483647
 CELL_SCHEMA = "cell bigint, cls array<bigint>, n array<int>, keys binary, at binary"
@@ -112,15 +113,17 @@ class Batch:
     def __init__(self, cls, n, row, keys, place):
         self.cls, self.n, self.need = cls, n, needed(n)
         self.row, self.keys = row, keys
-        prefix = place < (n - (n * 6 + 9) // 10 + self.need)[row]
-        self.prefix_row, self.prefix_keys = row[prefix], keys[prefix]
         self.start = np.concatenate([[0], np.cumsum(n)])
+        o = np.argsort(keys, kind="stable")
+        self.by_key = keys[o], row[o]
+        prefix = (place < (n - (n * 6 + 9) // 10 + self.need)[row])[o]
+        self.prefix = keys[o][prefix], row[o][prefix]
 
     def reachable(self, least: int, full: np.ndarray, rare: np.ndarray) -> bool:
         """Whether a cell with these bitmaps can hold a text near to one of these."""
         mask = (1 << BITS) - 1
-        large = np.bincount(self.prefix_row, full[self.prefix_keys & mask], len(self.n)) >= self.need
-        small = np.bincount(self.row, rare[self.keys & mask], len(self.n)) >= least
+        large = np.bincount(self.prefix[1], full[self.prefix[0] & mask], len(self.n)) >= self.need
+        small = np.bincount(self.by_key[1], rare[self.by_key[0] & mask], len(self.n)) >= least
         return bool(large.any() or small.any())
 
     def near(self, cls, n, keys, at):
@@ -134,9 +137,9 @@ class Batch:
         for lo in range(0, len(self.n), step):
             hi = min(lo + step, len(self.n))
             mine = slice(lo, hi)
-            large = self._hits(self.prefix_row, self.prefix_keys, keys, text, lo, hi, size)
+            large = self._hits(*self.prefix, keys, text, lo, hi, size)
             ok = (large >= self.need[mine, None]) & (n[None, :] >= self.n[mine, None])
-            small = self._hits(self.row, self.keys, rare_keys, rare_text, lo, hi, size)
+            small = self._hits(*self.by_key, rare_keys, rare_text, lo, hi, size)
             ok |= (small >= need[None, :]) & (n[None, :] < self.n[mine, None])
             ok &= self.cls[mine, None] != cls[None, :]
             i, j = np.nonzero(ok)
@@ -150,12 +153,11 @@ class Batch:
                     yield self.cls[x], cls[y]
 
     @staticmethod
-    def _hits(row, mine, keys, text, lo, hi, size) -> np.ndarray:
-        """How many of the sequences of texts lo to hi each text of the cell has."""
-        a, b = np.searchsorted(row, [lo, hi])
-        mine, row = mine[a:b], row[a:b] - lo
-        o = np.argsort(mine, kind="stable")
-        mine, row = mine[o], row[o]
+    def _hits(mine, row, keys, text, lo, hi, size) -> np.ndarray:
+        """How many of the sequences of texts lo to hi (mine in rising order, row the text of each) each text of the cell has."""
+        if lo or hi <= row.max(initial=0):
+            part = (row >= lo) & (row < hi)
+            mine, row = mine[part], row[part] - lo
         left, right = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
         m = right - left
         out = np.zeros((hi - lo) * size, np.int32)
@@ -211,6 +213,7 @@ class History:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.shared: list = []  # broadcasts of the call that is running
 
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
@@ -281,6 +284,7 @@ class History:
         out = None
         for block in self._blocks(texts):
             shared = self.spark.sparkContext.broadcast(block)
+            self.shared.append(shared)
 
             def run(batches, shared=shared):
                 for b in batches:
@@ -305,30 +309,35 @@ class History:
         return out.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select("p.*").distinct()
 
     def decide(self, f: DataFrame) -> DataFrame:
-        """check for prepared rows f (who, hash, record, cls, grams) -> (who, reason), a written table."""
+        """check for prepared rows f (who, hash, record, cls, grams, and ord where their order isn't that of who) ->
+        (who, reason), a written table."""
         work = Work(self.spark, "p6-batch")
-        texts = f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"])
+        f = f if "ord" in f.columns else f.withColumn("ord", F.col("who"))
+        texts = work.table(f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"]), "texts")
         own = self.cells(texts, work, "own")
-        one = f.select("who", "hash", "record", "cls")
+        one = f.select("who", "ord", "hash", "record", "cls")
         why = [("content_hash", "hash"), ("source_id", "record"), ("near_text", "cls")]
-        links = one.select("who", F.inline(F.array(*[F.struct(F.lit(r).alias("reason"), F.col(c).alias("tie")) for r, c in why]))).where("tie is not null").withColumn("hub", F.lit(True))
+        links = one.select("who", "ord", F.inline(F.array(*[F.struct(F.lit(r).alias("reason"), F.col(c).alias("tie")) for r, c in why]))).where("tie is not null").withColumn("hub", F.lit(True))
         pairs = self.near(texts, own)
         if pairs is not None:
             # a row of class a is rejected by rows of class b: the tie of b has the row as one that is no hub
-            links = links.unionByName(one.select("who", F.col("cls").alias("a")).join(pairs, "a").select("who", F.lit("near_text").alias("reason"), F.col("b").alias("tie"), F.lit(False).alias("hub")))
+            links = links.unionByName(one.select("who", "ord", F.col("cls").alias("a")).join(pairs, "a").select("who", "ord", F.lit("near_text").alias("reason"), F.col("b").alias("tie"), F.lit(False).alias("hub")))
         links = links.distinct().withColumn("bucket", F.pmod("tie", F.lit(self.setup()[0])).cast("int"))
         links = work.table(links, "links")
+        for b in self.shared:
+            b.destroy()
+        self.shared = []
         keys = _pruned(self._read("keys", "tie bigint, bucket int"), links, self.setup()[0])
         hits = work.table(links.join(keys, ["bucket", "tie"], "left_semi").select("who", "reason").distinct(), "hits")
-        rows = one.select("who", F.col("who").alias("ord")).join(hits.select("who").distinct().withColumn("decided", F.lit(True)), "who", "left").withColumn("decided", F.coalesce("decided", F.lit(False)))
+        rows = one.select("who", "ord").join(hits.select("who").distinct().withColumn("decided", F.lit(True)), "who", "left").withColumn("decided", F.coalesce("decided", F.lit(False)))
         accepted = resolved(rows, links.select("who", "tie", "hub"), work)
         # reasons of the rejected: the first accepted row of the tie came earlier
         x = links.join(accepted, "who")
-        first = x.where("hub and accepted").groupBy("tie").agg(F.min("who").alias("first"))
-        reasons = work.table(hits.unionByName(x.join(first, "tie").where("first < who").select("who", "reason")).distinct(), "reasons")
-        new = f.join(accepted.where("accepted"), "who", "left_semi")
-        self._append(self.cells(new.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"]), work, "new"), self._ties(new))
-        work.drop("own", "new", "links", "hits")
+        first = x.where("hub and accepted").groupBy("tie").agg(F.min("ord").alias("first"))
+        reasons = work.table(hits.unionByName(x.join(first, "tie").where("first < ord").select("who", "reason")).distinct(), "reasons")
+        new = work.table(one.join(accepted.where("accepted"), "who", "left_semi").select("hash", "record", "cls"), "accepted")
+        self._append(self.cells(texts.join(new.select("cls").distinct(), "cls", "left_semi"), work, "new"), self._ties(new))
+        work.drop("texts", "own", "new", "links", "hits", "accepted")
         return reasons
 
 
@@ -339,9 +348,14 @@ def batches(core: DataFrame, candidates: DataFrame, path: str, work: Work) -> Da
     history.create(core)
     cand = candidates.select("candidate_id", F.coalesce("batch_no", F.lit(LAST)).alias("turn"), *ROWS)
     f = prepared(cand, "candidate_id", work, "candidates", ("turn",))
-    out = spark.createDataFrame([], "who bigint, reason string")
-    for turn in [r[0] for r in f.select("turn").distinct().orderBy("turn").collect()]:
-        out = out.unionByName(history.decide(f.where(F.col("turn") == turn).drop("turn")))
+    f = f.withColumn("ord", F.struct("turn", "who"))
+    sizes = [tuple(r) for r in f.groupBy("turn").count().orderBy("turn").collect()]  # one row a batch
+    out, first, held = spark.createDataFrame([], "who bigint, reason string"), None, 0
+    for k, (turn, n) in enumerate(sizes):
+        first, held = (turn, n) if first is None else (first, held + n)
+        if held + (sizes[k + 1][1] if k + 1 < len(sizes) else AT_ONCE) > AT_ONCE:
+            out = out.unionByName(history.decide(f.where(F.col("turn").between(first, turn)).drop("turn")))
+            first = None
     return out.withColumnRenamed("who", "candidate_id")
 
 
