@@ -41,6 +41,7 @@ BITS = 19  # of a bitmap: 64 KB
 BLOCK = 1 << 21  # sequences of the part of a batch that is looked up at once
 AT_ONCE = 8192  # rows of consecutive batches that are decided in one call, about: the order of rows decides, so nothing changes
 FEW = 1000  # so many cells are named to the reader; more are picked by a join
+MEET = 8  # sequences of a prefix that must be shared: more make longer prefixes with more hits, and fewer pairs to compare
 LAST = 2147483647
 CELL_SCHEMA = "cell bigint, cls array<bigint>, n array<int>, keys binary, at binary"
 BOUND_SCHEMA = "cell bigint, least int, full binary, rare binary"
@@ -57,17 +58,26 @@ def record_key(source: Column, source_id: Column) -> Column:
     return F.when(k.isNotNull(), F.xxhash64(F.lit("s"), k))
 
 
+def once(f: DataFrame, key: str, work: Work, name: str) -> DataFrame:
+    """The first row of each key. Only keys and numbers of rows are shuffled; the rows beyond are taken out by their number."""
+    first = f.groupBy(key).agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").select(key, "first")
+    first = work.table(first, f"{name}-first")
+    more = work.table(f.select(key, "row").join(first, key).where("row > first").select("row"), f"{name}-more")
+    return f.join(more, "row", "left_anti")
+
+
 def prepared(df: DataFrame, ident: str, work: Work, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Written table: keep, who, hash, record, cls (null under three words), grams; each ident once."""
-    x = df.where(F.col(ident).isNotNull()).dropDuplicates([ident]).select(
+    """From a written table: keep, who, hash, record, row, cls (null under three words), grams; each ident once."""
+    x = df.where(F.col(ident).isNotNull()).select(
         *keep,
         F.col(ident).alias("who"),
         hash_key(F.col("content_hash")).alias("hash"),
         record_key(F.col("source"), F.col("source_id")).alias("record"),
+        F.monotonically_increasing_id().alias("row"),
         F.col("clean_content").alias("text"),
     )
-    f = featured(x, work, name, keep=(*keep, "who", "hash", "record"), passages=False)
-    return f.withColumn("cls", F.when(F.col("n_words") >= 3, F.col("cls"))).drop("n_words")
+    f = featured(x, work, name, keep=(*keep, "who", "hash", "record", "row"), passages=False)
+    return once(f.withColumn("cls", F.when(F.col("n_words") >= 3, F.col("cls"))).drop("n_words"), "who", work, name)
 
 
 def resolved(rows: DataFrame, links: DataFrame, work: Work) -> DataFrame:
@@ -111,7 +121,7 @@ class Batch:
     of all, and those of the prefixes, each with its text."""
 
     def __init__(self, cls, n, row, keys, place):
-        self.cls, self.n, self.need = cls, n, needed(n)
+        self.cls, self.n, self.need = cls, n, needed(n, MEET)
         self.row, self.keys = row, keys
         self.start = np.concatenate([[0], np.cumsum(n)])
         o = np.argsort(keys, kind="stable")
@@ -130,7 +140,7 @@ class Batch:
         """Pairs (text of this, text of the cell) with enough hits and near in full; at: text of the cell and, in its
         highest bit, whether the sequence belongs to its prefix."""
         rare, text = at >> 15 == 1, (at & 0x7FFF).astype(np.int64)
-        need = needed(n)
+        need = needed(n, MEET)
         size = len(cls)
         rare_keys, rare_text = keys[rare], text[rare]
         step = max(1, (1 << 23) // size)  # counters at once
@@ -180,7 +190,7 @@ def cells(texts: DataFrame, levels: np.ndarray) -> DataFrame:
         n = np.array([len(x) for x in lists], np.int64)
         g = np.concatenate(lists)
         r, place = ranks(n, g, shared.value)
-        need = needed(n)
+        need = needed(n, MEET)
         rare = place < (n - (n * 6 + 9) // 10 + need)[r]
         o = np.lexsort((r, g))
         at = (r | rare.astype(np.int64) << 15).astype(np.uint16)[o]
@@ -247,7 +257,8 @@ class History:
         n = f.count()
         self.spark.createDataFrame([(max(1, -(-3 * n // BUCKET)),)], "buckets int").write.parquet(f"{self.path}/size")
         frequencies(f).write.parquet(f"{self.path}/order")
-        self._append(self.cells(f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"]), work, "cells"), self._ties(f))
+        texts = once(f.where("cls is not null").select("cls", "grams", "row"), "cls", work, "cls").select("cls", "grams")
+        self._append(self.cells(texts, work, "cells"), self._ties(f))
         work.drop("rows", "cells")
 
     def check(self, batch: DataFrame) -> DataFrame:
@@ -313,7 +324,7 @@ class History:
         (who, reason), a written table."""
         work = Work(self.spark, "p6-batch")
         f = f if "ord" in f.columns else f.withColumn("ord", F.col("who"))
-        texts = work.table(f.where("cls is not null").select("cls", "grams").dropDuplicates(["cls"]), "texts")
+        texts = once(f.where("cls is not null").select("cls", "grams", "row"), "cls", work, "cls").select("cls", "grams")
         own = self.cells(texts, work, "own")
         one = f.select("who", "ord", "hash", "record", "cls")
         why = [("content_hash", "hash"), ("source_id", "record"), ("near_text", "cls")]
@@ -337,7 +348,7 @@ class History:
         reasons = work.table(hits.unionByName(x.join(first, "tie").where("first < ord").select("who", "reason")).distinct(), "reasons")
         new = work.table(one.join(accepted.where("accepted"), "who", "left_semi").select("hash", "record", "cls"), "accepted")
         self._append(self.cells(texts.join(new.select("cls").distinct(), "cls", "left_semi"), work, "new"), self._ties(new))
-        work.drop("texts", "own", "new", "links", "hits", "accepted")
+        work.drop("own", "new", "links", "hits", "accepted")
         return reasons
 
 

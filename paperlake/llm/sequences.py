@@ -67,9 +67,9 @@ def order(rows: DataFrame) -> np.ndarray:
     return ((out[:, None] >> (np.arange(16) * 4)) & 15).astype(np.uint8).ravel()
 
 
-def needed(n):
+def needed(n, meet: int = MEET):
     """How many sequences of its prefix a text of n sequences must share; n is an array."""
-    return np.minimum(MEET, (n * 6 + 9) // 10)
+    return np.minimum(meet, (n * 6 + 9) // 10)
 
 
 def ranks(n: np.ndarray, g: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
