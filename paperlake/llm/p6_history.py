@@ -3,8 +3,8 @@
 ``History`` is a persisted inverted file under one folder. A text's vector is its set of three-word sequences, in a
 fixed order from rare to frequent:
 * ``cells``: vectors of up to CELL texts each, texts with a common least hash side by side; a cell is one row that holds
-  its full vectors as an inverted list (sequences in rising order, with the text each belongs to),
-* ``bounds``: for each cell the bitmaps of all its sequences and of those in its texts' prefixes,
+  its full vectors as an inverted list (sequences in rising order, with the text each belongs to), and, in columns read by
+  themselves, its bounds: bitmaps of all its sequences and of those in its texts' prefixes,
 * ``keys`` (partitioned by bucket): content hashes, source records and texts (as word sequences) of accepted rows,
 * ``order``: the order of sequences, made at the start and never changed (any order is right, this one is fast).
 
@@ -25,6 +25,8 @@ Repeated candidates count once. Null, empty and blank texts, hashes and ids matc
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -117,67 +119,86 @@ def _bits(keys: np.ndarray) -> np.ndarray:
 
 
 class Batch:
-    """Vectors of a batch's texts (or a block of them), ready to be looked up: cls, n and need of each text, the sequences
-    of all, and those of the prefixes, each with its text."""
+    """Vectors of a batch's texts (or a block of them), ready to be looked up: cls, n and need of each text, the sequences of
+    all, and which of them belong to a prefix. What is sent is that alone; each worker sorts it once."""
 
     def __init__(self, cls, n, row, keys, place):
-        self.cls, self.n, self.need = cls, n, needed(n, MEET)
-        self.row, self.keys = row, keys
-        self.start = np.concatenate([[0], np.cumsum(n)])
-        o = np.argsort(keys, kind="stable")
-        self.by_key = keys[o], row[o]
-        prefix = (place < (n - (n * 6 + 9) // 10 + self.need)[row])[o]
-        self.prefix = keys[o][prefix], row[o][prefix]
+        self.cls, self.n, self.need, self.keys = cls, n, needed(n, MEET), keys
+        self.prefix = place < (n - (n * 6 + 9) // 10 + self.need)[row]
+
+    def __getstate__(self):
+        return {k: self.__dict__[k] for k in ("cls", "n", "need", "keys", "prefix")}
+
+    @cached_property
+    def start(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.n)])
+
+    @cached_property
+    def sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sequences in rising order, the text of each, and whether it is of the prefix."""
+        o = np.argsort(self.keys, kind="stable")
+        return self.keys[o], np.repeat(np.arange(len(self.n), dtype=np.int32), self.n)[o], self.prefix[o]
 
     def reachable(self, least: int, full: np.ndarray, rare: np.ndarray) -> bool:
         """Whether a cell with these bitmaps can hold a text near to one of these."""
-        mask = (1 << BITS) - 1
-        large = np.bincount(self.prefix[1], full[self.prefix[0] & mask], len(self.n)) >= self.need
-        small = np.bincount(self.by_key[1], rare[self.by_key[0] & mask], len(self.n)) >= least
-        return bool(large.any() or small.any())
+        keys, row, prefix = self.sorted
+        at = keys & ((1 << BITS) - 1)
+        large = np.bincount(row[prefix], full[at[prefix]], len(self.n)) >= self.need
+        return bool(large.any() or (np.bincount(row, rare[at], len(self.n)) >= least).any())
 
     def near(self, cls, n, keys, at):
         """Pairs (text of this, text of the cell) with enough hits and near in full; at: text of the cell and, in its
         highest bit, whether the sequence belongs to its prefix."""
-        rare, text = at >> 15 == 1, (at & 0x7FFF).astype(np.int64)
+        rare, text = at >> 15 == 1, (at & 0x7FFF).astype(np.int32)
         need = needed(n, MEET)
-        size = len(cls)
-        rare_keys, rare_text = keys[rare], text[rare]
-        step = max(1, (1 << 23) // size)  # counters at once
+        mine, row, prefix = self.sorted
+        large = self._found(mine[prefix], row[prefix], keys)
+        small = self._found(mine, row, keys[rare])
+        rare_text = text[rare]
+        order = first = None
+        step = max(1, (1 << 23) // len(cls))  # counters at once
         for lo in range(0, len(self.n), step):
             hi = min(lo + step, len(self.n))
-            mine = slice(lo, hi)
-            large = self._hits(*self.prefix, keys, text, lo, hi, size)
-            ok = (large >= self.need[mine, None]) & (n[None, :] >= self.n[mine, None])
-            small = self._hits(*self.by_key, rare_keys, rare_text, lo, hi, size)
-            ok |= (small >= need[None, :]) & (n[None, :] < self.n[mine, None])
-            ok &= self.cls[mine, None] != cls[None, :]
+            part = slice(lo, hi)
+            ok = (self._hits(*large, text, lo, hi, len(cls)) >= self.need[part, None]) & (n[None, :] >= self.n[part, None])
+            ok |= (self._hits(*small, rare_text, lo, hi, len(cls)) >= need[None, :]) & (n[None, :] < self.n[part, None])
             i, j = np.nonzero(ok)
-            if not len(i):
+            other = self.cls[i + lo] != cls[j]
+            if not other.any():
                 continue
-            o = np.argsort(text, kind="stable")
-            first = np.searchsorted(text[o], np.arange(size + 1))
-            for x, y in zip(i + lo, j):
-                common = len(np.intersect1d(self.keys[self.start[x] : self.start[x + 1]], keys[o[first[y] : first[y + 1]]], True))
+            if order is None:
+                order = np.argsort(text, kind="stable")
+                first = np.searchsorted(text[order], np.arange(len(cls) + 1))
+            for x, y in zip(i[other] + lo, j[other]):
+                common = len(np.intersect1d(self.keys[self.start[x] : self.start[x + 1]], keys[order[first[y] : first[y + 1]]], True))
                 if common * 10 >= min(self.n[x], n[y]) * 6:
                     yield self.cls[x], cls[y]
 
     @staticmethod
-    def _hits(mine, row, keys, text, lo, hi, size) -> np.ndarray:
-        """How many of the sequences of texts lo to hi (mine in rising order, row the text of each) each text of the cell has."""
+    def _found(mine, row, keys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of sequences in rising order those that keys has: the text of each, its first place in keys, and how often it stands there."""
+        new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+        one = keys[new]
+        k = np.minimum(np.searchsorted(one, mine), max(0, len(one) - 1))
+        hit = np.flatnonzero(one[k] == mine) if len(one) else np.zeros(0, int)
+        k = k[hit]
+        return row[hit], new[k], np.diff(np.append(new, len(keys)))[k]
+
+    @staticmethod
+    def _hits(row, left, m, text, lo, hi, size) -> np.ndarray:
+        """How many of the found sequences of texts lo to hi each text of the cell has."""
         if lo or hi <= row.max(initial=0):
-            part = (row >= lo) & (row < hi)
-            mine, row = mine[part], row[part] - lo
-        left, right = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
-        m = right - left
+            part = np.flatnonzero((row >= lo) & (row < hi))
+            row, left, m = row[part] - lo, left[part], m[part]
         out = np.zeros((hi - lo) * size, np.int32)
         ends = np.cumsum(m)
         k = 0
         while k < len(m):  # in parts, so that many hits don't fill the memory
-            stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + 4_000_000, "right")))
+            stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + 8_000_000, "right")))
             w = m[k:stop]
-            j = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(left[k:stop], w)
-            out += np.bincount(np.repeat(row[k:stop], w) * size + text[j], minlength=len(out)).astype(np.int32)
+            j = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w - left[k:stop], w)
+            hits = np.bincount(np.repeat(row[k:stop].astype(np.int64) * size, w) + text[j], minlength=len(out))
+            out = out + hits if k else hits
             k = stop
         return out.reshape(hi - lo, size)
 
@@ -235,16 +256,12 @@ class History:
             self._setup = n, order(self._read("order", "w int, m bigint"))
         return self._setup
 
-    def cells(self, texts: DataFrame, work: Work, name: str) -> DataFrame:
-        """Written cells of texts (cls, grams), each cls once; near texts, with the same least hash, stand together."""
+    def _append(self, texts: DataFrame, keys: DataFrame) -> None:
+        """texts (cls, grams), each cls once, as new cells; near texts, with the same least hash, stand together."""
         n = -(-max(1, texts.count()) // CELL)
         least = texts.select("cls", "grams", F.array_min("grams").alias("_least"))
         sorted_ = least.repartitionByRange(n, "_least", "cls").sortWithinPartitions("_least", "cls") if n > 1 else least.coalesce(1)
-        return work.table(cells(sorted_, self.setup()[1]), name)
-
-    def _append(self, c: DataFrame, keys: DataFrame) -> None:
-        c.select("cell", "cls", "n", "keys", "at").write.mode("append").option("parquet.block.size", 1 << 24).parquet(f"{self.path}/cells")
-        c.select("cell", "least", "full", "rare").write.mode("append").parquet(f"{self.path}/bounds")
+        cells(sorted_, self.setup()[1]).write.mode("append").option("parquet.block.size", 1 << 24).parquet(f"{self.path}/cells")
         keys.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
 
     def _ties(self, f: DataFrame) -> DataFrame:
@@ -258,8 +275,8 @@ class History:
         self.spark.createDataFrame([(max(1, -(-3 * n // BUCKET)),)], "buckets int").write.parquet(f"{self.path}/size")
         frequencies(f).write.parquet(f"{self.path}/order")
         texts = once(f.where("cls is not null").select("cls", "grams", "row"), "cls", work, "cls").select("cls", "grams")
-        self._append(self.cells(texts, work, "cells"), self._ties(f))
-        work.drop("rows", "cells")
+        self._append(texts, self._ties(f))
+        work.drop("rows")
 
     def check(self, batch: DataFrame) -> DataFrame:
         """(id, reason) of the batch's rows that repeat the history or an earlier accepted row of the batch; the
@@ -288,7 +305,7 @@ class History:
                 keep = [shared.value.reachable(least, f, r) for least, f, r in zip(b.column(1).to_pylist(), full, rare)]
                 yield b.filter(pa.array(keep, pa.bool_())).select(["cell"])
 
-        return self._read("bounds", BOUND_SCHEMA).mapInArrow(run, "cell bigint")
+        return self._read("cells", BOUND_SCHEMA).mapInArrow(run, "cell bigint")
 
     def near(self, texts: DataFrame, own: DataFrame) -> DataFrame | None:
         """texts (cls, grams) of a batch and their cells -> (a, b): near texts, a of the batch, b of the history or the batch."""
@@ -313,7 +330,7 @@ class History:
                 old = old.join(self.reached(shared), "cell", "left_semi").select("cell", "cls", "n", "keys", "at")
             else:
                 old = old.where(F.col("cell").isin(which) if which else F.lit(False))
-            met = old.unionByName(own.select("cell", "cls", "n", "keys", "at")).mapInArrow(run, "a bigint, b bigint")
+            met = old.unionByName(own).mapInArrow(run, "a bigint, b bigint")
             out = met if out is None else out.unionByName(met)
         if out is None:
             return None
@@ -325,7 +342,7 @@ class History:
         work = Work(self.spark, "p6-batch")
         f = f if "ord" in f.columns else f.withColumn("ord", F.col("who"))
         texts = once(f.where("cls is not null").select("cls", "grams", "row"), "cls", work, "cls").select("cls", "grams")
-        own = self.cells(texts, work, "own")
+        own = work.table(cells(texts, self.setup()[1]).select("cell", "cls", "n", "keys", "at"), "own")
         one = f.select("who", "ord", "hash", "record", "cls")
         why = [("content_hash", "hash"), ("source_id", "record"), ("near_text", "cls")]
         links = one.select("who", "ord", F.inline(F.array(*[F.struct(F.lit(r).alias("reason"), F.col(c).alias("tie")) for r, c in why]))).where("tie is not null").withColumn("hub", F.lit(True))
@@ -347,8 +364,8 @@ class History:
         first = x.where("hub and accepted").groupBy("tie").agg(F.min("ord").alias("first"))
         reasons = work.table(hits.unionByName(x.join(first, "tie").where("first < ord").select("who", "reason")).distinct(), "reasons")
         new = work.table(one.join(accepted.where("accepted"), "who", "left_semi").select("hash", "record", "cls"), "accepted")
-        self._append(self.cells(texts.join(new.select("cls").distinct(), "cls", "left_semi"), work, "new"), self._ties(new))
-        work.drop("own", "new", "links", "hits", "accepted")
+        self._append(texts.join(new.select("cls").distinct(), "cls", "left_semi"), self._ties(new))
+        work.drop("own", "links", "hits", "accepted")
         return reasons
 
 
