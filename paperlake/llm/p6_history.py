@@ -40,7 +40,7 @@ from .work import Work
 CELL, CELL_KEYS = 4096, 1 << 21  # texts and sequences of a cell, at most (a longer text is a cell of its own)
 BUCKET = 1 << 16  # keys of a bucket when the history is made
 BITS = 19  # of a bitmap: 64 KB
-BLOCK = 1 << 21  # sequences of the part of a batch that is looked up at once
+BLOCK = 1 << 22  # sequences (16 MB) of the part of a batch that is looked up at once
 AT_ONCE = 8192  # rows of consecutive batches that are decided in one call, about: the order of rows decides, so nothing changes
 FEW = 1000  # so many cells are named to the reader; more are picked by a join
 MEET = 8  # sequences of a prefix that must be shared: more make longer prefixes with more hits, and fewer pairs to compare
@@ -324,7 +324,7 @@ class History:
                     a, c = zip(*pairs) if pairs else ((), ())
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
 
-            which = [r[0] for r in self.reached(shared).limit(FEW + 1).collect()]
+            which = [r[0] for r in self.reached(shared).orderBy("cell").limit(FEW + 1).collect()]  # one job, unlike a limit alone
             old = self._read("cells", CELL_SCHEMA)
             if len(which) > FEW:
                 old = old.join(self.reached(shared), "cell", "left_semi").select("cell", "cls", "n", "keys", "at")
