@@ -25,7 +25,7 @@ _TEX = re.compile(r"\\(?:sub)*section\*?[\[{]|\\(?:begin|end|emph|textbf|textit|
 _WIKI = re.compile(r"^={2,6}[^=\n].*[^=\n]={2,6}\s*$|'''?[^'\n]+'''?|\[\[[^\]\n]+\]\]|\{\{[^}\n]+\}\}|^\{\||<(?:source|syntaxhighlight|ref|nowiki)\b", re.M | re.I)
 _MD = re.compile(r"^#{1,6}\s+\S|^(?:```|~~~)|^\S.*\n(?:={3,}|-{3,})\s*$|\*\*[^*\s][^*\n]*\*\*|~~[^~\s][^~\n]*~~|(?<!`)`[^`\s][^`\n]*`(?!`)|\]\([^)\s]+\)|\[\^\w+\]|(?<![\w*])[_*][^\s_*][^_*\n]*[_*](?![\w*])|^\s*\|?(?:\s*:?-{3,}:?\s*\|)+", re.M)
 _LIST = re.compile(r"^\s*(?:[-*+]|\d{1,3}[.)])\s+(?=\S)(?!\d+\s*-\s*$)")
-_MATH = re.compile(r"\$\$.+?\$\$|\\\[.+?\\\]|\\\(.+?\\\)|(?<![\\$\w])\$(?=[^\s$])(?:\\.|[^$\\\n]){1,200}?(?<=[^\s\\])\$(?![\d$])", re.S)
+_MATH = re.compile(r"\$\$.+?\$\$|\\\[.+?\\\]|\\\(.+?\\\)|(?<![\\$\w])\$(?=[^\s$])(?:\\.|[^$\\\n])+?(?<=[^\s\\])\$(?![\d$])", re.S)
 _TEXMATH = re.compile(r"\$\$.+?\$\$|\\\[.+?\\\]|\\\(.+?\\\)", re.S)  # formulas between delimiters in HTML text
 _ANY = re.compile(r"[<>\\$`*#_~=\[{]|^\s*(?:[-+]|\d{1,3}[.)])\s", re.M)
 ELEMENTS = ("heading", "list_item", "code", "formula")

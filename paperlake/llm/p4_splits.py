@@ -2,7 +2,8 @@
 
 Rows are tied by author, DOI and source record. Components are found by pointer jumping on a written table of
 parents: every round each node takes the least root among its neighbours, then pointers are halved; only the
-table moves between rounds. The table of components is kept: new records are tied to the components they touch,
+table moves between rounds. Joins with the root of a giant component have one row on the root's side, so the adaptive
+engine can split the other side. The table of components is kept: new records are tied to the components they touch,
 existing components keep their split, new ones fill the deficits, and a merge of components of different splits
 is put into quarantine.
 
@@ -90,20 +91,13 @@ def grouped(docs: DataFrame, work: Work) -> DataFrame:
     return components(links, work)
 
 
-def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    """(id, group_id)."""
-    docs = spark.read.parquet(f"{sf}/core_documents.parquet").select("id", "source", "source_id", "doi", "authors")
-    return grouped(docs, Work(spark, "p4"))
-
-
 def assigned(groups: DataFrame, targets: DataFrame, old: DataFrame | None = None) -> DataFrame:
     """groups (group_id, topic_axis, n), targets (split_name, target_share), old (group_id, split_name) ->
     (group_id, split_name).
 
-    Within each axis new groups, ordered by falling size, are laid along the line of the axis' rows in a hashed
-    order of the splits' deficits: a group goes to the split in whose interval its middle lies. Groups that hold
-    more than BIG of their axis are put first, each to the split with the largest deficit left, so that small
-    groups even out what they leave."""
+    Within each axis new groups are laid in a hashed order along a line divided by the splits' deficits: a group goes to
+    the split in whose interval its middle lies. Groups that hold more than BIG of their axis are put first, each to
+    the split with the largest deficit left, so that small groups even out what they leave."""
     old_rows = groups.join(old, "group_id") if old is not None else groups.withColumn("split_name", F.lit(None).cast("string")).limit(0)
     new = groups.join(old_rows.select("group_id"), "group_id", "left_anti") if old is not None else groups
     totals = groups.groupBy("topic_axis").agg(F.sum("n").alias("axis_n"))
@@ -131,8 +125,14 @@ def assigned(groups: DataFrame, targets: DataFrame, old: DataFrame | None = None
             lines.append((axis, s, at / total, (at + w) / total))
             at += w
     line = spark.createDataFrame(lines, "topic_axis string, split_name string, lo double, hi double")
-    # a hashed place on the line is even in every axis without ordering all groups in one task
-    place = rest.withColumn("u", F.pmod(F.xxhash64(F.lit(7), "group_id"), F.lit(1 << 40)) / F.lit(float(1 << 40)))
+    # The place of a group is what stands before its middle in a hashed order: sums over the hash's prefixes, and within a
+    # prefix over its groups, so no axis is ordered in one task and the deficits are met to a group.
+    hashed = rest.withColumn("h", F.xxhash64(F.lit(7), "group_id")).withColumn("p", F.pmod("h", F.lit(4096)))
+    upto = Window.partitionBy("topic_axis").orderBy("p")
+    sums = hashed.groupBy("topic_axis", "p").agg(F.sum("n").alias("k"))  # at most 4096 rows an axis
+    sums = sums.select("topic_axis", "p", (F.sum("k").over(upto) - F.col("k")).alias("before"), F.sum("k").over(Window.partitionBy("topic_axis")).alias("total"))
+    within = Window.partitionBy("topic_axis", "p").orderBy("h", "group_id").rowsBetween(Window.unboundedPreceding, 0)
+    place = hashed.join(F.broadcast(sums), ["topic_axis", "p"]).withColumn("u", (F.col("before") + F.sum("n").over(within) - F.col("n") / 2) / F.col("total"))
     out = place.alias("g").join(F.broadcast(line).alias("l"), F.col("g.topic_axis").eqNullSafe(F.col("l.topic_axis")) & (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).select("group_id", "split_name")
     return old_rows.select("group_id", "split_name").unionByName(out).unionByName(bigs)
 
@@ -140,15 +140,44 @@ def assigned(groups: DataFrame, targets: DataFrame, old: DataFrame | None = None
 BIG = 0.002
 
 
+class Kept:
+    """The persisted table of components under one folder: ``records`` (id, group_id, split_name, topic_axis), ``ties`` (group_id,
+    tie) and ``quarantine`` (id, splits). Batches are added; what is there keeps its group and split."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}") if p.getFileSystem(conf).exists(p) else self.spark.createDataFrame([], schema)
+
+    def records(self) -> DataFrame:
+        return self._read("records", "id bigint, group_id bigint, split_name string, topic_axis string")
+
+    def quarantine(self) -> DataFrame:
+        return self._read("quarantine", "id bigint, splits array<string>")
+
+    def add(self, docs: DataFrame, targets: DataFrame) -> None:
+        """New records; ids that are there already, in quarantine too, are passed over."""
+        work = Work(self.spark, "p4-add")
+        kept = self.records()
+        new = docs.join(kept.select("id").union(self.quarantine().select("id")), "id", "left_anti")
+        rows, clash = added(kept, self._read("ties", "group_id bigint, tie bigint"), new, targets, work)
+        rows = work.table(rows.select("id", "group_id", "split_name", "topic_axis"), "rows")
+        found = work.table(ties(new).join(rows.select("id", "group_id"), "id").select("group_id", "tie").distinct(), "found")
+        clash.write.mode("append").parquet(f"{self.path}/quarantine")
+        found.write.mode("append").parquet(f"{self.path}/ties")
+        rows.write.mode("append").parquet(f"{self.path}/records")
+        work.drop("rows", "found")
+
+
 def splits(docs: DataFrame, targets: DataFrame, work: Work) -> DataFrame:
-    """(id, group_id, split_name) of every record. A group counts to the axis of most of its rows."""
-    ids = docs.where("id is not null").select("id", "topic_axis").dropDuplicates(["id"])
-    group = ids.join(grouped(docs, work), "id", "left").select("id", "topic_axis", F.coalesce("group_id", "id").alias("group_id"))
-    group = work.table(group, "group")
-    per = group.groupBy("group_id", "topic_axis").agg(F.count("*").alias("n"))
-    best = Window.partitionBy("group_id").orderBy(F.desc("n"), "topic_axis")
-    sized = per.withColumn("all", F.sum("n").over(Window.partitionBy("group_id"))).withColumn("r", F.row_number().over(best)).where("r = 1").select("group_id", F.coalesce("topic_axis", F.lit("")).alias("topic_axis"), F.col("all").alias("n"))
-    return group.select("id", "group_id").join(assigned(work.table(sized, "sized"), targets), "group_id").select("id", "group_id", "split_name")
+    """(id, group_id, split_name) of every record, through a table of components made for it. A group counts to the axis of
+    most of its rows."""
+    kept = Kept(docs.sparkSession, work.path("kept"))
+    kept.add(docs, targets)
+    return kept.records().select("id", "group_id", "split_name")
 
 
 def added(kept: DataFrame, kept_ties: DataFrame, docs: DataFrame, targets: DataFrame, work: Work) -> tuple[DataFrame, DataFrame]:
@@ -169,9 +198,11 @@ def added(kept: DataFrame, kept_ties: DataFrame, docs: DataFrame, targets: DataF
     mine = ids.join(comp, "id", "left").select("id", "topic_axis", F.coalesce("group_id", "id").alias("c")).join(known, "c", "left")
     clash = mine.where("size(splits) > 1").select("id", F.array_sort("splits").alias("splits"))
     joined = mine.where("size(splits) = 1").select("id", F.col("old_group").alias("group_id"), F.col("splits")[0].alias("split_name"), "topic_axis")
-    fresh = work.table(mine.where("splits is null").withColumn("group_id", F.min("id").over(Window.partitionBy("c"))).select("id", "group_id", F.coalesce("topic_axis", F.lit("")).alias("topic_axis")), "fresh")
-    sized = fresh.groupBy("group_id").agg(F.min("topic_axis").alias("topic_axis"), F.count("*").alias("n"))
-    before = kept.groupBy("group_id", "split_name").agg(F.min(F.coalesce("topic_axis", F.lit(""))).alias("topic_axis"), F.count("*").alias("n"))
+    least = mine.where("splits is null").groupBy("c").agg(F.min("id").alias("group_id"))
+    fresh = work.table(mine.where("splits is null").join(least, "c").select("id", "group_id", F.coalesce("topic_axis", F.lit("")).alias("topic_axis")), "fresh")
+    axis = F.max_by("topic_axis", F.struct("k", "topic_axis")).alias("topic_axis")
+    sized = fresh.groupBy("group_id", "topic_axis").agg(F.count("*").alias("k")).groupBy("group_id").agg(axis, F.sum("k").alias("n"))
+    before = kept.groupBy("group_id", "split_name", F.coalesce("topic_axis", F.lit("")).alias("topic_axis")).agg(F.count("*").alias("k")).groupBy("group_id", "split_name").agg(axis, F.sum("k").alias("n"))
     groups = work.table(sized.unionByName(before.select("group_id", "topic_axis", "n")), "all")
     placed = assigned(groups, targets, before.select("group_id", "split_name"))
     return joined.unionByName(fresh.join(placed, "group_id").select("id", "group_id", "split_name", "topic_axis")), clash
@@ -181,3 +212,10 @@ def p4_splits(spark: SparkSession, sf: str) -> DataFrame:
     """(id, group_id, split_name) of every core_documents row."""
     docs = spark.read.parquet(f"{sf}/core_documents.parquet").select("id", "source", "source_id", "doi", "authors", "topic_axis")
     return splits(docs, spark.read.parquet(f"{sf}/split_targets.parquet"), Work(spark, "p4s"))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """(id, group_id) of the records that share their group with another, from the kept table of components."""
+    rows = p4_splits(spark, sf).select("id", "group_id")
+    many = rows.groupBy("group_id").agg(F.count("*").alias("n")).where("n > 1").select("group_id")
+    return rows.join(many, "group_id").select("id", "group_id")

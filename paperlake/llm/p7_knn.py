@@ -3,18 +3,21 @@
 Block matrix join of int8 tiles. Unit vectors are rotated into DIM dimensions (a seeded orthogonal
 projection) and quantised to int8. A seeded, bounded sample of vectors (at most MAX_CELLS) gives the
 centres of cells; every vector is placed in the CELLS_EACH cells whose centres are nearest, and each cell
-is joined with itself in tiles of integer products. An integer product gives the projected cosine with
+is joined with itself in tiles of integer products. A cell of more than TILE vectors (their number is told by a sample) is
+split into parts, and every pair of parts is a task of its own. An integer product gives the projected cosine with
 an error of at most the two quantisation residuals (``slack``); pairs whose upper bound reaches the floor
 survive. The floor is NOISE times the spread of the projected cosines of random pairs of the sample.
 Surviving pairs are recomputed in float on the full vectors (moved as 16-bit codes, whose cosines are off by
 about a millionth), each pair at one place, and merged by rank to the k nearest. Vectors left with fewer than k are compared with all rows, in blocks of at most BLOCK.
 
+Of equal vectors only the k + 1 of least ids are searched for and found: the others' nearest are the first k of them, and
+for any other vector they tie with these and come later. So a group of copies costs nothing, however large.
+
 The cells are chosen from a bounded sample, but every vector is indexed. Recall is measured against
 brute force in the tests (at least 0.9; see the README for the figures).
 
 Valid vectors have DIMENSION finite values, not all zero; all others, and null ids, are left out. Rows
-repeated with the same id count once. Equal cosines are ordered by id. Hot cells are split into tiles, so
-that no task holds a whole cell's products.
+repeated with the same id count once. Equal cosines are ordered by id.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from .work import Work
 
 DIMENSION, DIM, K, NOISE, TILE, BLOCK = 256, 128, 5, 4.5, 4096, 4096
-CELLS_EACH, CELL_ROWS, MAX_CELLS = 12, 110, 16384
+CELLS_EACH, CELL_ROWS, MAX_CELLS, SAMPLED = 12, 110, 16384, 16
 
 
 def valid_vectors(df: DataFrame, ident: str = "id", vector: str = "embedding") -> DataFrame:
@@ -69,12 +72,29 @@ def coded(vectors: DataFrame) -> DataFrame:
     return vectors.select("id", "v").mapInArrow(run, "id bigint, code binary")
 
 
-def placed(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
-    """(cell, id, q, scale, own) for the nearest cells of each vector."""
+def crowded(vectors: DataFrame, centres: np.ndarray) -> dict[int, int]:
+    """{cell: parts} of the cells that hold more than TILE vectors, by a sample of one in SAMPLED; at most one entry a cell."""
+    some = placed(vectors.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(SAMPLED)) == 0), centres, {})
+    rows = some.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") * SAMPLED > TILE).collect()
+    return {r.cell: -(-r.n * SAMPLED // TILE) for r in rows}
+
+
+def placed(vectors: DataFrame, centres: np.ndarray, split: dict[int, int]) -> DataFrame:
+    """(cell, tile, part, id, q, scale) for the nearest cells of each vector. In a cell of several parts a vector goes to the
+    tiles of its part with every part."""
     each = min(CELLS_EACH, len(centres))
     b = vectors.sparkSession.sparkContext.broadcast(centres)
     rot = rotation()
 
+    def tiled(cell, ids, rows):
+        """Rows repeated for the tiles of crowded cells."""
+        parts = np.array([split.get(c, 1) for c in cell.tolist()], np.int64)
+        part = ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
+        k = np.repeat(np.arange(len(cell)), parts)
+        other = np.arange(len(k)) - np.repeat(np.cumsum(parts) - parts, parts)
+        mine = part[k]
+        return cell[k], (np.minimum(mine, other) * parts[k] + np.maximum(mine, other)).astype(np.int32), mine.astype(np.int32), rows[k]
+
     def run(batches):
         c = b.value
         for batch in batches:
@@ -88,61 +108,65 @@ def placed(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
                 near = np.argpartition(-sim, each - 1, axis=1)[:, :each] if each < len(c) else np.tile(np.arange(each), (len(p), 1))
                 n = len(p)
                 rows = np.repeat(np.arange(n), each)
+                cell, tile, own, rows = near.ravel().astype(np.int32), np.zeros(len(rows), np.int32), np.zeros(len(rows), np.int32), rows
+                if split:
+                    cell, tile, own, rows = tiled(cell, part.column(0).to_numpy()[rows], rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(near.ravel().astype(np.int32)),
+                        pa.array(cell),
+                        pa.array(tile),
+                        pa.array(own),
                         part.column(0).take(pa.array(rows)),
                         pa.array([x.tobytes() for x in q], pa.binary()).take(pa.array(rows)),
                         pa.array(scale[rows]),
                     ],
-                    names=["cell", "id", "q", "scale"],
+                    names=["cell", "tile", "part", "id", "q", "scale"],
                 )
 
-    return vectors.select("id", "v").mapInArrow(run, "cell int, id bigint, q binary, scale float")
+    return vectors.select("id", "v").mapInArrow(run, "cell int, tile int, part int, id bigint, q binary, scale float")
 
 
 def tile_pairs(ids_a, qa, sa, ids_b, qb, sb, norm_a, norm_b, floor):
-    """Pairs (a < b) of one tile whose upper bound of the projected cosine reaches floor."""
+    """Pairs of one tile whose upper bound of the projected cosine reaches floor."""
     est = (qa.astype(np.float32) @ qb.astype(np.float32).T) * sa[:, None] * sb[None, :]  # exact integers below 2^24
     # |p.q - est| <= |ep| |q'| + |eq| |p'| with residuals of at most half a step in each dimension
     half = np.float32(0.5 * np.sqrt(DIM))
     est += half * (sa[:, None] * norm_b[None, :] + norm_a[:, None] * sb[None, :])
     i, j = np.nonzero(est >= floor)
-    i, j = i[ids_a[i] < ids_b[j]], j[ids_a[i] < ids_b[j]]
     return ids_a[i], ids_b[j]
 
 
 def _join_cells(batches, floor):
-    """Batches sorted by cell -> surviving pairs (a < b). A cell is compared in tiles."""
+    """Batches sorted by cell and tile -> surviving pairs (a < b)."""
     held, rows = [], 0
 
-    def cell_pairs(ids, q, scale):
+    def pairs(ids, q, scale, part):
+        """Of one tile: all pairs of one part, or those between two parts."""
         norm = np.linalg.norm(q.astype(np.float32), axis=1) * scale
-        for lo in range(0, len(ids), TILE):
-            a = slice(lo, lo + TILE)
-            for lo2 in range(lo, len(ids), TILE):  # ids ascend: tiles below the diagonal have no a < b
-                b = slice(lo2, lo2 + TILE)
-                for s in range(a.start, min(a.stop, len(ids)), 512):
-                    t = slice(s, min(s + 512, a.stop))
-                    x, y = tile_pairs(ids[t], q[t], scale[t], ids[b], q[b], scale[b], norm[t], norm[b], floor)
-                    if len(x):
-                        yield x, y
+        one = part == part[0]
+        left, right = (np.flatnonzero(one), np.flatnonzero(~one)) if not one.all() else (np.arange(len(ids)),) * 2
+        for lo in range(0, len(left), 512):
+            a = left[lo : lo + 512]
+            for lo2 in range(0 if right is not left else lo, len(right), TILE):
+                b = right[lo2 : lo2 + TILE]
+                x, y = tile_pairs(ids[a], q[a], scale[a], ids[b], q[b], scale[b], norm[a], norm[b], floor)
+                ok = x != y
+                if ok.any():
+                    yield np.minimum(x, y)[ok], np.maximum(x, y)[ok]
 
     def flush(final):
         nonlocal held
-        cell = np.concatenate([h[0] for h in held])
-        ids = np.concatenate([h[1] for h in held])
-        q = np.concatenate([h[2] for h in held])
-        scale = np.concatenate([h[3] for h in held])
-        cut = len(cell) if final else int(np.searchsorted(cell, cell[-1], "left"))
-        bounds = np.flatnonzero(np.concatenate([[True], cell[1:cut] != cell[: max(0, cut - 1)]])) if cut else np.zeros(0, int)
+        key, part, ids, scale = (np.concatenate([h[k] for h in held]) for k in (0, 1, 2, 4))
+        q = np.concatenate([h[3] for h in held])
+        cut = len(key) if final else int(np.searchsorted(key, key[-1], "left"))
+        bounds = np.flatnonzero(np.concatenate([[True], key[1:cut] != key[: max(0, cut - 1)]])) if cut else np.zeros(0, int)
         out = []
         for lo, hi in zip(bounds, np.append(bounds[1:], cut)):
             keep = np.unique(ids[lo:hi], return_index=True)[1] + lo  # a repeated row counts once
-            got = list(cell_pairs(ids[keep], q[keep], scale[keep]))
+            got = list(pairs(ids[keep], q[keep], scale[keep], part[keep]))
             if got:
                 out.append(np.unique(np.stack([np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])], axis=1), axis=0))
-        held = [(cell[cut:], ids[cut:], q[cut:], scale[cut:])] if cut < len(cell) else []
+        held = [(key[cut:], part[cut:], ids[cut:], q[cut:], scale[cut:])] if cut < len(key) else []
         return out
 
     def send(out):
@@ -152,8 +176,8 @@ def _join_cells(batches, floor):
 
     for b in batches:
         if b.num_rows:
-            q = np.frombuffer(b"".join(b.column(2).to_pylist()), np.int8).reshape(b.num_rows, DIM)
-            held.append((b.column(0).to_numpy(), b.column(1).to_numpy(), q, b.column(3).to_numpy()))
+            q = np.frombuffer(b"".join(b.column(4).to_pylist()), np.int8).reshape(b.num_rows, DIM)
+            held.append((b.column(0).to_numpy().astype(np.int64) << 32 | b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy(), q, b.column(5).to_numpy()))
             rows += b.num_rows
         if rows > 40_000:
             yield from send(flush(False))
@@ -236,6 +260,13 @@ def neighbours(vectors: DataFrame, rows: int, k: int = K, work: Work | None = No
     """(id, other, cosine, rank): the k nearest other vectors of each, ties by id. rows: about how many."""
     spark = vectors.sparkSession
     work = work or Work(spark, "p7")
+    # of equal vectors the k + 1 of least ids stand for all
+    mine = Window.partitionBy("h").orderBy("id")
+    hashed = vectors.select("id", F.xxhash64("v").alias("h")).distinct().withColumn("r", F.row_number().over(mine))
+    more = work.table(hashed.where(F.col("r") > k + 1).select("id", "h"), "more")
+    first = vectors.select("id", F.xxhash64("v").alias("h")).distinct().join(more.select("h").distinct(), "h", "left_semi").withColumn("r", F.row_number().over(mine)).where(F.col("r") <= k)
+    copies = more.join(first.withColumnRenamed("id", "other"), "h").select("id", "other", F.lit(1.0).alias("cosine"), F.col("r").alias("rank"))
+    vectors = vectors.join(more.select("id"), "id", "left_anti")
     cells = int(min(MAX_CELLS, max(1, rows // CELL_ROWS)))
     # the centres: vectors with small hashes, a bounded sample that doesn't depend on the partitions
     want = max(cells, 500)
@@ -249,7 +280,8 @@ def neighbours(vectors: DataFrame, rows: int, k: int = K, work: Work | None = No
     off = (some @ some.T)[np.triu_indices(len(some), 1)]
     floor = float(NOISE * np.median(np.abs(off)) / 0.6745) if len(off) > 100 else -2.0
     centres = sample[:cells] / np.linalg.norm(sample[:cells], axis=1, keepdims=True)
-    tiles = placed(vectors, centres.astype(np.float32)).repartition("cell").sortWithinPartitions("cell")
+    centres = centres.astype(np.float32)
+    tiles = placed(vectors, centres, crowded(vectors, centres)).repartition("cell", "tile").sortWithinPartitions("cell", "tile")
     pairs = work.table(tiles.mapInArrow(lambda b: _join_cells(b, floor), "a bigint, b bigint").distinct(), "pairs")
     # each pair is recomputed at the lesser of the two least neighbours, so that a group of near vectors meets once
     least = pairs.select(F.col("a").alias("id"), F.col("a").alias("m")).union(pairs.select(F.col("b").alias("id"), F.col("a").alias("m"))).groupBy("id").agg(F.min("m").alias("m"))
@@ -267,12 +299,12 @@ def neighbours(vectors: DataFrame, rows: int, k: int = K, work: Work | None = No
     if left:
         blocks = -(-left // BLOCK)
         parts = [_against_all(rest.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i) if blocks > 1 else rest, vectors, k) for i in range(blocks)]
-        more = parts[0]
+        found = parts[0]
         for x in parts[1:]:
-            more = more.union(x)
-        more = more.dropDuplicates(["id", "other"]).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        out = near.join(rest.select("id"), "id", "left_anti").unionByName(more)
-    return out
+            found = found.union(x)
+        found = found.dropDuplicates(["id", "other"]).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        out = near.join(rest.select("id"), "id", "left_anti").unionByName(found)
+    return out.unionByName(copies)
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:

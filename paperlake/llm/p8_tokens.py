@@ -5,12 +5,14 @@ each row merges its leftmost pair of least rank, found in a hash table of pairs;
 rows without a pair left leave the matrix.
 
 Null, empty and blank-free texts: null and empty texts give an empty list of ids. Text that looks like a special
-token is ordinary text. Very long pieces are encoded whole. The vocabulary file is a parameter.
+token is ordinary text. Very long pieces are encoded whole: beyond LONG bytes, where rounds over a whole row cost too much,
+the same merges in the same order come from a heap over a linked list. The vocabulary file is a parameter.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import os
 
 import numpy as np
@@ -23,6 +25,7 @@ VOCABULARY = os.environ.get("PAPERLAKE_TOKENIZERS", "/opt/tokenizers") + "/byte_
 #: Fixed value: the public pattern by which this vocabulary's texts are cut into pieces.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NONE = np.int32(2**31 - 1)
+LONG = 1024  # bytes of a piece that goes into a matrix
 _CACHE = 200_000  # pieces kept between batches
 
 
@@ -118,6 +121,36 @@ class Encoder:
                 rank = rank[:, :0]
         return out
 
+    def _merge_long(self, ids: np.ndarray) -> np.ndarray:
+        """Ids of one long piece: the leftmost pair of least rank is merged until there is none, as in a matrix."""
+        token, n = ids.tolist(), len(ids)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(r, i) for i, r in enumerate(self.table.ranks(ids[:-1], ids[1:]).tolist()) if r != _NONE]
+        rank = dict((i, r) for r, i in heap)  # of the pair that begins at a place; what the heap says otherwise is out of date
+        heapq.heapify(heap)
+
+        def pair(i):
+            j = after[i]
+            r = int(self.table.ranks(np.array([token[i]], np.int32), np.array([token[j]], np.int32))[0]) if j < n else int(_NONE)
+            rank[i] = r
+            if r != _NONE:
+                heapq.heappush(heap, (r, i))
+
+        while heap:
+            r, i = heapq.heappop(heap)
+            if rank.get(i) != r:
+                continue
+            j = after[i]
+            token[i], rank[j] = r, int(_NONE)
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            token[j] = -1
+            pair(i)
+            if before[i] >= 0:
+                pair(before[i])
+        return np.array([t for t in token if t >= 0], np.int32)
+
     def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
         out: list = [None] * len(raw)
@@ -128,6 +161,9 @@ class Encoder:
                 out[i] = np.array([r], np.int32)
             else:
                 n = len(b)
+                if n > LONG:
+                    out[i] = self._merge_long(self.bytes[np.frombuffer(b, np.uint8)])
+                    continue
                 buckets.setdefault(n if n <= 24 else 1 << (n - 1).bit_length(), []).append(i)
         for width, group in buckets.items():
             step = max(1, 2_000_000 // width)  # bounds the memory of a matrix

@@ -22,6 +22,7 @@ from .p8_tokens import encoded
 from .work import Work
 
 BLOCKS = 20_000  # blocks of a mixture
+TARGETS = 10_000  # more sources with a target are refused: their shares are apportioned on the driver
 SHARD_DOCS = 20_000  # documents of a shard, about; shards bound what one task orders
 SEED = 17
 
@@ -40,11 +41,8 @@ def sainte_lague(weights: dict, capacity: dict, blocks: int) -> dict:
     return held
 
 
-def quotas(shards: list[tuple], targets: dict, total: int | None) -> tuple[dict, int]:
-    """shards (source, shard, tokens), targets {source: (share, repeats)} -> tokens of each (source, shard), block."""
-    have: dict = {}
-    for source, _, n in shards:
-        have[source] = have.get(source, 0) + n
+def source_blocks(have: dict, targets: dict, total: int | None) -> tuple[dict, int]:
+    """have {source: tokens}, targets {source: (share, repeats)} -> blocks of each source, tokens of a block."""
     live = {s: (w, r) for s, (w, r) in targets.items() if have.get(s, 0) > 0 and w > 0 and r > 0}
     if not live:
         return {}, 1
@@ -53,38 +51,47 @@ def quotas(shards: list[tuple], targets: dict, total: int | None) -> tuple[dict,
         total = int(min(have[s] * r * weight / w for s, (w, r) in live.items()))
     block = max(1, total // BLOCKS)
     capacity = {s: have[s] * r // block for s, (_, r) in live.items()}
-    blocks = sainte_lague({s: w for s, (w, _) in live.items()}, capacity, total // block)
+    return sainte_lague({s: w for s, (w, _) in live.items()}, capacity, total // block), block
+
+
+def shard_quotas(mine: dict, blocks: int, block: int, repeats: int) -> dict:
+    """mine {shard: tokens} of one source -> tokens of each shard: its blocks by the same apportionment."""
+    got = sainte_lague(mine, {k: t * repeats // block for k, t in mine.items()}, blocks)
+    rest = (blocks - sum(got.values())) * block  # what whole blocks can't hold in any shard goes where there is room for tokens
     out = {}
-    for s, n in blocks.items():
-        mine = {(s, k): t for source, k, t in shards if source == s}
-        room = {k: t * live[s][1] // block for k, t in mine.items()}
-        got = sainte_lague(mine, room, n)
-        # what whole blocks can't hold in any shard is put where there is room for single tokens
-        rest = (n - sum(got.values())) * block
-        for k in sorted(mine):
-            more = min(rest, mine[k] * live[s][1] - got[k] * block)
-            out[k] = got[k] * block + more
-            rest -= more
-    return out, block
+    for k in sorted(mine):
+        more = min(rest, mine[k] * repeats - got[k] * block)
+        out[k] = got[k] * block + more
+        rest -= more
+    return out
 
 
 def mixture(docs: DataFrame, targets: DataFrame, work: Work, total: int | None = None, seed: int = SEED) -> DataFrame:
     """docs (doc_id, source, text) -> (doc_id, source, tokens, copies), copies >= 1."""
     spark = docs.sparkSession
-    rows = targets.where("source is not null").groupBy("source").agg(F.max("target_share"), F.max("max_repeats")).limit(100_000).collect()
+    rows = targets.where("source is not null").groupBy("source").agg(F.max("target_share"), F.max("max_repeats")).limit(TARGETS + 1).collect()
+    if len(rows) > TARGETS:
+        raise ValueError(f"more than {TARGETS} sources have a target")
     goal = {r[0]: (r[1] or 0.0, r[2] or 0) for r in rows}
     mine = docs.join(F.broadcast(targets.select("source").distinct()), "source", "left_semi").where("doc_id is not null and length(text) > 0")
     counted = encoded(mine, counts=True, keep=("source",)).where("tokens > 0").dropDuplicates(["doc_id"])
     counted = work.table(counted, "counted")
     shards = max(1, counted.count() // SHARD_DOCS)
     at = counted.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(shards)).cast("int"))
-    # one row per source with a target and shard: as many as documents / SHARD_DOCS times the targets' rows
-    sizes = [tuple(r) for r in at.groupBy("source", "shard").agg(F.sum("tokens").alias("t")).collect()]
-    quota, _ = quotas(sizes, goal, total)
-    size = {(s, k): t for s, k, t in sizes}
-    plan = spark.createDataFrame([(s, k, int(q // size[(s, k)]), int(q % size[(s, k)])) for (s, k), q in quota.items()], "source string, shard int, passes long, rest long")
+    sizes = work.table(at.groupBy("source", "shard").agg(F.sum("tokens").alias("size")), "sizes")
+    have = {r[0]: r[1] for r in sizes.groupBy("source").agg(F.sum("size")).collect()}  # a row for each source with a target
+    blocks, block = source_blocks(have, goal, total)
+    told = spark.createDataFrame([(s, n, goal[s][1]) for s, n in blocks.items()], "source string, blocks long, repeats long")
+
+    def apportion(g):  # one row per shard of a source: its documents / SHARD_DOCS
+        q = shard_quotas(dict(zip(g["shard"].tolist(), g["size"].tolist())), int(g["blocks"].iloc[0]), block, int(g["repeats"].iloc[0]))
+        g["passes"] = [int(q[k] // n) for k, n in zip(g["shard"], g["size"])]
+        g["rest"] = [int(q[k] % n) for k, n in zip(g["shard"], g["size"])]
+        return g[["source", "shard", "passes", "rest"]]
+
+    plan = work.table(sizes.join(F.broadcast(told), "source").groupBy("source").applyInPandas(apportion, "source string, shard int, passes long, rest long"), "plan")
     order = Window.partitionBy("source", "shard").orderBy("u", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    x = at.join(F.broadcast(plan), ["source", "shard"]).withColumn("u", F.xxhash64(F.lit(seed + 1), "doc_id"))
+    x = at.join(plan, ["source", "shard"]).withColumn("u", F.xxhash64(F.lit(seed + 1), "doc_id"))
     x = x.withColumn("till", F.sum("tokens").over(order))
     # a document belongs to the last pass if its middle does
     copies = F.col("passes") + (F.col("till") * 2 - F.col("tokens") < F.col("rest") * 2).cast("long")

@@ -18,12 +18,12 @@ NAMES = {
 }
 
 
+#: Imported with this module, so that a missing library leaves out the subpackage and nothing else.
+MODULES = {module: importlib.import_module(f".{module}", __package__) for module in NAMES}
+
+
 def queries() -> dict:
-    out = {}
-    for module, names in NAMES.items():
-        m = importlib.import_module(f".{module}", __package__)
-        out |= {n: getattr(m, n) for n in names}
-    return out
+    return {n: getattr(MODULES[module], n) for module, names in NAMES.items() for n in names}
 
 
 def oracle_sql() -> dict[str, str]:

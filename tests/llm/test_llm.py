@@ -191,6 +191,30 @@ def test_p4_components_splits_and_additions(spark):
     assert {r.id: (r.group_id, r.split_name) for r in rows.collect()}[20] == (1, "train") and clash.count() == 0
 
 
+def test_p4_kept_table(spark, tmp_path):
+    """Batches against one batch: the same groups; what is there keeps its split; clashes are put into quarantine."""
+    schema = "id bigint, source string, source_id string, doi string, authors array<string>, topic_axis string"
+    r = random.Random(4)
+    rows = [(i, "x", str(i), None, [f"Ann A{r.randrange(150)}", f"Bob B{i}"], r.choice("abc")) for i in range(400)]
+    targets = spark.createDataFrame([("train", 0.8), ("validation", 0.1), ("test", 0.1)], "split_name string, target_share double")
+    kept = p4_splits.Kept(spark, f"file://{tmp_path}/kept")
+    df = spark.createDataFrame(rows, schema)
+    kept.add(df.where("id < 250"), targets)
+    before = {x.id: (x.group_id, x.split_name) for x in kept.records().collect()}
+    kept.add(df, targets)
+    after = {x.id: (x.group_id, x.split_name) for x in kept.records().collect()}
+    out = {x.id for x in kept.quarantine().collect()}
+    assert all(after[i] == v for i, v in before.items()) and set(after) | out == set(range(400)) and not set(after) & out
+    for i in range(400):  # no author in two splits
+        for j in range(i):
+            if i in after and j in after and rows[i][4][0] == rows[j][4][0]:
+                assert after[i][1] == after[j][1]
+    assert out and all(len({before[j][1] for j in before if rows[j][4][0] == rows[i][4][0]}) >= 1 for i in out)
+    many = spark.createDataFrame([(i, "x", str(i), None, [f"Solo S{i}"], "a" if i % 3 else "b") for i in range(3000)], schema)
+    shares = {(x.topic_axis, x.split_name): x["count"] for x in p4_splits.splits(many, targets, Work(spark, "t4s")).join(many, "id").groupBy("topic_axis", "split_name").count().collect()}
+    assert all(abs(shares[a, s] - n * t) <= 1 for a, n in (("a", 2000), ("b", 1000)) for s, t in (("train", 0.8), ("validation", 0.1), ("test", 0.1)))
+
+
 def test_p4_long_chain(spark):
     n = 40
     links = spark.createDataFrame([(i + 1, i) for i in range(n)], "a bigint, b bigint")
@@ -281,7 +305,7 @@ def test_p6_reads_only_cells_that_can_be_near(spark, tmp_path, monkeypatch):
     batch = [(1000, "t", "a", None, core[3][4]), (1001, "t", "b", None, text(0)), (1002, "t", "c", None, text(77))]
     new = spark.createDataFrame(batch, P6_SCHEMA)
     f = p6_history.prepared(new, "id", Work(spark, "t6c"), "rows").where("cls is not null").select("cls", "grams")
-    cells = h._read("bounds", p6_history.BOUND_SCHEMA).count()
+    cells = h._read("cells", p6_history.BOUND_SCHEMA).count()
     reached = h.reached(spark.sparkContext.broadcast(next(h._blocks(f)))).count()
     assert cells >= 6 and 1 <= reached <= cells // 2
     monkeypatch.setattr(p6_history, "BLOCK", 70)
@@ -340,6 +364,38 @@ def test_p7_recall_and_edges(spark):
     assert p7_knn.neighbours(p7_knn.valid_vectors(few.limit(0)), 0).count() == 0
 
 
+def test_p7_crowded_cells_and_copies(spark, monkeypatch):
+    """A third of all rows in one cell, split over tasks, and a group of equal vectors: as by brute force."""
+    monkeypatch.setattr(p7_knn, "TILE", 64)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((600, 256)).astype(np.float32)
+    x[:300] = x[0] + 0.3 * x[:300]
+    x[450:520] = x[450]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, embedding array<float>")
+    vectors = p7_knn.valid_vectors(df)
+    c = p7_knn._matrix(vectors.orderBy("id").limit(1).toArrow().column("v").combine_chunks()) @ p7_knn.rotation()
+    assert p7_knn.crowded(vectors, c)[0] > 4
+    got = {}
+    for r in p7_knn.neighbours(vectors, 600).collect():
+        got.setdefault(r.id, []).append((r.rank, r.other))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u.astype(np.float64) @ u.T.astype(np.float64), 6)
+    np.fill_diagonal(s, -9)
+    want = {i: [int(j) for j in np.lexsort((np.arange(600), -s[i]))[:5]] for i in range(600)}
+    assert set(got) == set(range(600)) and all(sorted(j for _, j in got[i]) == sorted(want[i]) for i in range(450, 520))
+    assert np.mean([j in [o for _, o in got[i]] for i in range(600) for j in want[i]]) >= 0.9
+
+
+def test_p8_long_words(spark):
+    """Pieces too long for a matrix are merged as in one, without a pass over the piece for each merge."""
+    e = p8_tokens.encoder("long", p8_tokens.read_vocabulary())
+    r = random.Random(3)
+    for t in ("a" * 3000, "".join(r.choices("abcdeéß", k=4000)), "".join(r.choices("the and", k=200)).replace(" ", "") * 12):
+        raw = e.bytes[np.frombuffer(t.encode(), np.uint8)]
+        assert e._merge_long(raw).tolist() == e._merge(raw[None, :].copy())[0].tolist()
+    assert len(e.encode(["x" * 300_000])[1]) > 0
+
+
 def test_p8_equals_reference_tokenizer(spark):
     tiktoken = pytest.importorskip("tiktoken")
     if not Path(p8_tokens.VOCABULARY).exists():
