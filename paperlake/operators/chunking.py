@@ -31,7 +31,8 @@ def sections(df: DataFrame, ident: str, text: str) -> DataFrame:
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~head, F.struct("pos", "line")))), lambda y: y["line"]), "\n")
     g = x.groupBy(ident, "section").agg(title.alias("heading"), F.regexp_replace(body, r"^\s+|\s+$", "").alias("body"))
     g = g.withColumn("heading", F.coalesce("heading", F.lit(DEFAULT_SECTION)))
-    return g.where((F.length("body") > 0) & ~F.lower("heading").isin("title", "document title"))
+    kept = g.where((F.length("body") > 0) & ~F.lower("heading").isin("title", "document title"))
+    return kept.withColumn("section", (F.row_number().over(Window.partitionBy(ident).orderBy("section")) - 1).cast("int"))  # what is dropped takes no number
 
 
 def units(body: str) -> list[list[str]]:

@@ -35,3 +35,11 @@ def numbered(df: DataFrame, order: list[str], ident: str) -> DataFrame:
     before = counts.select("_p", (F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_p")) - F.col("_n")).alias("_before"))
     place = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before") + 1
     return rows.join(F.broadcast(before), "_p").withColumn(ident, place.cast("bigint")).drop("_m", "_p", "_before")
+
+
+def update_columns(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """stored with the columns of new in the place of its own where the key is in new; new has each key once."""
+    cols = [c for c in new.columns if c not in keys]
+    n = new.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_new"))
+    both = stored.join(n, keys, "left")
+    return both.select(*[F.when(F.col("_new"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in stored.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import collect, corpus, joins, parsing, retrieval, texts, verify  # noqa: F401  (each registers its queries)
+from .plans import collect, corpus, gates, joins, parsing, retrieval, texts, verify  # noqa: F401  (each registers its queries)
 from .plans.registry import QUERIES, SQL
 
 

@@ -32,6 +32,16 @@ def selection_faults(sel: DataFrame) -> DataFrame:
     return blank.unionByName(twice)
 
 
+def manifest_faults(spark: SparkSession, path: str, version: str, source: str, counts: dict[str, int]) -> DataFrame:
+    """(fault, found): a manifest whose version, source, declared total or number of ids of an axis isn't as expected."""
+    m = json_documents(spark, path, "selection_version string, source string, selected_count int, selected_documents map<string, array<string>>")
+    total = F.aggregate(F.map_values("selected_documents"), F.lit(0), lambda s, x: s + F.size(x))
+    checks = [("version", F.col("selection_version"), F.lit(version)), ("source", F.col("source"), F.lit(source)), ("total", F.col("selected_count"), total)]
+    checks += [(f"count of {a}", F.coalesce(F.size(F.col("selected_documents")[a]), F.lit(-1)), F.lit(n)) for a, n in counts.items()]
+    found = F.array(*[F.when(~c.eqNullSafe(want), F.struct(F.lit(n).alias("fault"), c.cast("string").alias("found"))) for n, c, want in checks])
+    return m.select(F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f")).select("f.*")
+
+
 def paper_files(spark: SparkSession, root: str, name: str) -> DataFrame:
     """(topic_axis, source_id, path, content) of root/axis/id/name."""
     f = spark.read.format("binaryFile").option("pathGlobFilter", name).option("recursiveFileLookup", "true").load(root)

@@ -337,3 +337,37 @@ def test_svd_keeps_neighbours(spark):
     v = {r.id: r.v for r in s.vectors(s.rows, 3).collect()}
     assert len(v) == 60 and sum(a * b for a, b in zip(v[0], v[3])) > 0.8 > 0.5 > abs(sum(a * b for a, b in zip(v[0], v[1])))
     assert 0.2 < s.explained(2) < s.explained(3) <= 1
+
+
+def test_politeness_and_rounds():
+    from paperlake.sources.api import Refused, in_rounds, politely
+
+    slept, answers = [], [Refused(429, 30), OSError(), "page"]
+
+    def fetch(*_):
+        a = answers.pop(0)
+        if isinstance(a, Exception):
+            raise a
+        return a
+
+    assert politely(fetch, sleep=slept.append, clock=lambda: 100.0)("q") == "page" and slept == [0, 30, 40]
+    for bad in (Refused(404), Refused(503)):
+        answers[:] = [bad] * 3
+        with pytest.raises(Refused):
+            politely(fetch, sleep=lambda _: None)("q")
+        assert len(answers) == (2 if bad.status == 404 else 0)
+    pages = {"a": [[1, 2], [3, 4], [5]], "b": [[2, 9], []]}
+    get = lambda q, start, size: [{"id": i} for i in pages[q][start // size]]
+    assert [(q, s) for q, s, _ in in_rounds(get, ["a", "b"], 2, 100)] == [("a", 0), ("b", 0), ("a", 2), ("a", 4)]
+    assert [(q, s) for q, s, _ in in_rounds(get, ["a", "b"], 2, 3)] == [("a", 0), ("b", 0)]
+
+
+def test_sinks_and_manifest(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "id bigint, text string")
+    assert sinks.write_parted(df, F.col("text").isNull(), str(tmp_path / "t"), str(tmp_path / "q")) == {"kept": 2, "failed": 1}
+    assert sinks.write_parted(df.where("id > 2"), F.col("text").isNull(), str(tmp_path / "t"), str(tmp_path / "q")) == {"kept": 1, "failed": 0}
+    sinks.write_texts(df.where("id = 1"), str(tmp_path / "txt"))
+    assert "".join(p.read_text() for p in (tmp_path / "txt").glob("part-*")) == "a b\n\n"
+    (tmp_path / "m.json").write_text(json.dumps({"selection_version": "2", "source": "s", "selected_count": 4, "selected_documents": {"a": ["1", "2"], "b": ["3"]}}))
+    got = {(r.fault, r.found) for r in files.manifest_faults(spark, str(tmp_path / "m.json"), "1", "s", {"a": 2, "b": 2, "c": 1}).collect()}
+    assert got == {("version", "2"), ("total", "4"), ("count of b", "1"), ("count of c", "-1")}
