@@ -80,7 +80,7 @@ def test_gates_find_what_is_broken(spark, sf, tmp_path_factory):
     d = spark.read.parquet(f"{sf}/core_documents.parquet")
     odd = lambda k: F.col("id") % 5 == k
     d = d.withColumns({
-        "char_count": F.when(odd(0), F.col("char_count") + 1).otherwise(F.col("char_count")), "content_hash": F.when(odd(1), F.substring("content_hash", 1, 60)).when(odd(2), F.lower(F.sha2(F.lit("other"), 256))).otherwise(F.col("content_hash")),
+        "char_count": F.when(odd(0), F.col("char_count") + 1).otherwise(F.col("char_count")), "content_hash": F.when(odd(1), F.substring("content_hash", 1, 60)).when(~odd(0), F.lower(F.sha2(F.lit("other"), 256))).otherwise(F.col("content_hash")),
         "topic_axis": F.when(odd(3), "weather").otherwise(F.col("topic_axis")), "language": F.when(odd(4), F.lit(None).cast("string")).otherwise(F.col("language")),
     })
     d.write.parquet(f"{root}/core_documents.parquet")
