@@ -23,7 +23,7 @@ def duplicate_dois(spark, sf):
 
 @query(
     """SELECT DISTINCT ON (id) id, CASE WHEN embedding IS NULL THEN 'missing' WHEN len(embedding) <> 256 THEN 'shape' WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 'not_finite'
-    WHEN len(list_filter(embedding, lambda x: x <> 0)) = 0 THEN 'zero' ELSE 'fine' END AS fault, CASE WHEN len(embedding) = 256 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 THEN abs(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) - 1) < 0.001 END AS unit FROM core_chunks"""
+    WHEN len(list_filter(embedding, lambda x: x <> 0)) = 0 THEN 'zero' ELSE 'fine' END AS fault, CASE WHEN len(embedding) = 256 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 THEN (abs(sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) - 1) < 0.001)::INTEGER END AS unit FROM core_chunks"""
 )
 def vector_faults(spark, sf):
     """What is wrong with each chunk's vector, and whether it has unit length."""
@@ -31,7 +31,7 @@ def vector_faults(spark, sf):
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fault = F.when(v.isNull(), "missing").when(F.size(v) != 256, "shape").when(bad, "not_finite").when(~F.exists(v, lambda x: x != 0), "zero").otherwise("fine")
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    c = table(spark, sf, "core_chunks").select("id", fault.alias("fault"), F.when((F.size(v) == 256) & ~bad, F.abs(norm - 1) < 0.001).alias("unit"))
+    c = table(spark, sf, "core_chunks").select("id", fault.alias("fault"), F.when((F.size(v) == 256) & ~bad, (F.abs(norm - 1) < 0.001).cast("int")).alias("unit"))
     return c.dropDuplicates(["id"])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.retrieval import dot, evidence, first_relevant, metrics, norm, top_k
 from ..operators.retriever import Retriever
 from ..operators.sparse import evaluated, term_rows
-from ..operators.svd import overlap, report
+from ..operators.svd import Svd, overlap, report
 from ..operators.tfidf import counts, vocabulary, weights
 from ..sources.tables import chunk_columns, documents, table
 from ..work import Work
@@ -152,6 +152,30 @@ def svd_report(spark, sf):
     return report(_texts(spark, sf), "id", "text", [16, 32, 64], Work(spark, "svd"))
 
 
+@query()
+def model_choice(spark, sf):
+    """Models of 16, 32 and 64 dimensions asked with titles (ids divisible by 20) for documents of the same axis; chosen is the
+    best by nDCG, precision and MRR, then the smaller."""
+    work = Work(spark, "models")
+    docs = _texts(spark, sf)
+    vocab = work.table(vocabulary(counts(docs, "id", "text"), "id", docs.count()), "vocabulary")
+    label = documents(spark, sf).select("id", F.xxhash64("topic_axis").alias("label"))
+    svd = Svd(work.table(weights(docs, "id", "text", vocab=vocab), "weights"), "id", 64, work)
+    titles = documents(spark, sf).where("id % 20 = 0").select("id", "title")
+    asked = work.table(svd.placed(weights(titles, "id", "title", vocab=vocab), "id"), "asked")
+    totals = label.groupBy("label").agg((F.count("*") - 1).alias("relevant"))
+    rows = []
+    for d in (16, 32, 64):
+        r = work.table(svd.vectors(svd.rows, d).join(label, "id").select(F.col("id").alias("row_id"), "v", "label"), f"rows{d}")
+        q = work.table(svd.vectors(asked, d).where("v is not null").join(label, "id").select(F.col("id").alias("query_id"), "v", "label"), f"asked{d}")
+        own = q.select("query_id", F.col("label").alias("ql"))
+        hits = top_k(q, r, 6).join(r.select("row_id", "label"), "row_id").join(own, "query_id").select("query_id", F.col("place").alias("rank"), (F.col("label") == F.col("ql")).cast("int").alias("rel"))
+        m = metrics(hits, first_relevant(q, r), own.join(totals, own.ql == totals.label).select("query_id", "relevant"), 6)
+        rows.append((d, *m.agg(*[F.coalesce(F.round(F.avg(c), 6), F.lit(0.0)) for c in ("ndcg", "precision", "rr")]).first()))
+    best = max(rows, key=lambda x: (*x[1:], -x[0]))[0]
+    return spark.createDataFrame([(*x, x[0] == best) for x in rows], "dim int, ndcg double, precision double, mrr double, chosen boolean")
+
+
 CHUNK_TF = """WITH c AS (SELECT DISTINCT ON (id) id, document_id, chunk_text, retrieval_text FROM core_chunks), n AS (SELECT count(*) AS n FROM c),
     t AS (SELECT id, regexp_extract_all(strip_accents(lower(retrieval_text)), '[a-z0-9]{2,}') AS w FROM c), g AS (SELECT id, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM t),
     tf AS (SELECT id, term, count(*) AS tf FROM g GROUP BY ALL),

@@ -57,6 +57,7 @@ CHECKS = {
     "paged_text": (["id"], "length(h) = 64"),
     "corpus_lines": (["id"], "dropped >= 0"),
     "svd_neighbours": (["query_id"], "overlap between 0 and 1"),
+    "model_choice": (["dim"], "ndcg between 0 and 1 and precision between 0 and 1 and mrr between 0 and 1"),
     "svd_report": (["dim"], "explained between 0 and 1 and least <= median and median <= most"),
 }
 
