@@ -46,10 +46,6 @@ def pieces(c: Column) -> Column:
     return F.filter(F.split(squeeze(c), " "), lambda x: x != "")
 
 
-def letters_only(x: Column) -> Column:
-    return F.regexp_replace(x, r"^[^A-Za-z]+|[^A-Za-z]+$", "")
-
-
 _ONE = "[^A-Za-z ]*[A-Za-z][^A-Za-z ]*"  # a piece with one letter
 
 
@@ -76,9 +72,13 @@ BROKEN = rf"{_MARKS}|[A-Za-z]{{2,}}/[A-Za-z]{{2,}}|{_RARE}"
 BROKEN_LINE = rf"{_MARKS}|{_RARE}"  # the corpus filter has no rule on slashes
 
 
+#: What any broken piece has somewhere: one pass tells most texts from those whose pieces must be looked at.
+_SUSPECT = r"[_¢�\x00]|[A-Za-z]{2}/[A-Za-z]{2}|(?i:([a-z])\1\1)|(?i:[bcdfghjklmnpqrstvwxyz]{7})"
+
+
 def broken_tokens(t: Column, pattern: str = BROKEN) -> Column:
     """Pieces of squeezed text that look misread: counted by one pattern, without splitting."""
-    return F.regexp_count(F.concat(F.lit(" "), t), F.lit(rf" (?=\S*(?:{pattern}))\S+"))
+    return F.when(t.rlike(_SUSPECT), F.regexp_count(F.concat(F.lit(" "), t), F.lit(rf" (?=\S*(?:{pattern}))\S+"))).otherwise(F.when(t.isNotNull(), 0))
 
 
 def gated(df: DataFrame, text: str) -> DataFrame:

@@ -107,12 +107,6 @@ def unresidued(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(x, r"(?i)\bThanks\s*:\s*", ""), "[ \t]+", " "))
 
 
-def punctuated(c: Column) -> Column:
-    """No blank before closing signs or after an opening bracket."""
-    x = F.regexp_replace(c, r"\s+([,.;:!?)])", "$1")
-    return F.regexp_replace(x, r"\(\s+", "(")
-
-
 def title_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
 

@@ -371,3 +371,12 @@ def test_sinks_and_manifest(spark, tmp_path):
     (tmp_path / "m.json").write_text(json.dumps({"selection_version": "2", "source": "s", "selected_count": 4, "selected_documents": {"a": ["1", "2"], "b": ["3"]}}))
     got = {(r.fault, r.found) for r in files.manifest_faults(spark, str(tmp_path / "m.json"), "1", "s", {"a": 2, "b": 2, "c": 1}).collect()}
     assert got == {("version", "2"), ("total", "4"), ("count of b", "1"), ("count of c", "-1")}
+
+
+def test_payloads_and_small_writers(spark, tmp_path):
+    df = spark.createDataFrame([(1, b"%PDF-1.7" + b"x" * 10_000), (2, b"%PDF"), (3, b"<html>" + b"x" * 20_000), (4, None)], "id int, b binary")
+    assert {r.id for r in df.where(Q.pdf_payload(F.col("b"))).collect()} == {1}
+    assert spark.range(1).select(N.vector_literal(F.array(F.lit(1.5), F.lit(-2.0)))).first()[0] == "[1.5,-2.0]"
+    sinks.write_jsonl(df.select("id"), str(tmp_path / "l"))
+    sinks.write_report(df.agg(F.count("*").alias("n")), str(tmp_path / "r"))
+    assert spark.read.json(str(tmp_path / "l")).count() == 4 and [json.loads(x.read_text()) for x in (tmp_path / "r").glob("part-*")] == [{"n": 4}]
