@@ -164,11 +164,6 @@ def read_html(source: str) -> tuple[list[str], list[tuple[str, str, int]]]:
     return p.elements, p.blocks
 
 
-def _uncomment(text: str) -> str:
-    """Without <!-- --> comments, lines kept."""
-    return re.sub(r"<!--.*?(?:-->|\Z)", lambda m: "\n" * m[0].count("\n"), text, flags=re.S)
-
-
 def read_lines(source: str, kind: str) -> tuple[list[str], list[tuple[str, str, int]]]:
     """Elements and blocks of a Markdown, wiki or LaTeX source."""
     text = source.replace("\r\n", "\n").replace("\r", "\n")

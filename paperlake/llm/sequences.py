@@ -81,8 +81,8 @@ def ranks(n: np.ndarray, g: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray,
     return row, place
 
 
-def prefixes(f: DataFrame, levels: np.ndarray, alone: bool) -> DataFrame:
-    """f (cls, grams) -> (cls, n, grams): the prefix of each text; alone: with sequences that no other text has."""
+def prefixes(f: DataFrame, levels: np.ndarray) -> DataFrame:
+    """f (cls, grams) -> (cls, n, grams): the prefix of each text without the sequences that no other text has."""
     shared = f.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
@@ -94,9 +94,7 @@ def prefixes(f: DataFrame, levels: np.ndarray, alone: bool) -> DataFrame:
             o = np.lexsort((g, level, row))
             g, level = g[o], level[o]
             place = np.arange(len(g)) - np.repeat(np.cumsum(n) - n, n)
-            take = place < (n - (n * 6 + 9) // 10 + needed(n))[row]
-            if not alone:
-                take &= level > 0
+            take = (place < (n - (n * 6 + 9) // 10 + needed(n))[row]) & (level > 0)
             off = np.concatenate([[0], np.cumsum(np.bincount(row[take], minlength=len(n)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n.astype(np.int32)), pa.ListArray.from_arrays(off, pa.array(g[take], pa.int32()))], names=["cls", "n", "grams"])
 
@@ -174,7 +172,7 @@ def lookup(index: DataFrame, texts: DataFrame, levels: np.ndarray, work: Work, n
     """index, texts (cls, grams) -> (a, b), a < b: all near pairs of an index text and one of the texts that is no
     smaller, and some more; None if there are none to look up. levels is the order, made from all the texts."""
     out = None
-    for block in _blocks(prefixes(index, levels, False), work, f"{name}-prefixes"):
+    for block in _blocks(prefixes(index, levels), work, f"{name}-prefixes"):
         got = texts.select("cls", "grams").mapInArrow(_looked_up(texts.sparkSession.sparkContext.broadcast(block)), "a bigint, b bigint")
         out = got if out is None else out.unionByName(got)
     return out
