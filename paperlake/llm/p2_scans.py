@@ -26,7 +26,7 @@ _STROKES = {"e": "c", "(": "c", "0": "c", "o": "c", "@": "a", "t": "i", "f": "i"
 DASH = "-‐¬\u00ad"
 VOCABULARY = 20_000  # frequent forms that are broadcast, so that not every word is a suspect; the others are told by joins
 HEADS, CAPITALS = 4, 200  # beginnings of heads seen so often are known; lines in capitals seen so often are section headings
-KNOWN_LINES = 200_000  # of either kind that are broadcast, the most frequent: they take at most 20 MB
+KNOWN_LINES = 200_000  # of either kind that are broadcast, the most frequent: they take at most 20 MB; the rest is told by a join
 SUPPORT, RATIO = 12, 15  # a frequent form is seen so often, and so many times as often as the rare one
 _EDGE = ".,;:?\"'[]{}<>*_`=~#&\\|“”‘’"
 _PAGE = re.compile(r"^[\s\f\ufeff]*(?:(?:p\.|pg\.?|page)\s*\d{1,4}(?:\s*(?:of|/)\s*\d{1,4})?|\(\d{1,4}\)|~\s*\d{1,4}\s*~|[-–—]\s*\d{1,4}\s*[-–—]|\[\d{1,4}\]|\d{1,4})\s*$", re.I)
@@ -142,25 +142,41 @@ class Reader:
     def __init__(self, vocabulary: set, suffixes: set, capitals: set):
         self.vocabulary, self.suffixes, self.capitals = vocabulary, suffixes, capitals
 
-    def kinds(self, lines: list[str]) -> list[str]:
-        """'page', 'header', 'blank' or 'body' of each line."""
+    def _sorted(self, lines: list[str]) -> tuple[list[str], list[tuple[int, str | None, str | None, bool]]]:
+        """'page', 'header', 'blank' or 'body' of each line by its own form, and of the body lines that can be heads: number,
+        mask if in capitals, suffix if beside a page number, and whether it repeats there."""
         out, stripped = [], [x.strip().strip("\ufeff\f") for x in lines]
         masks = Counter(re.sub(r"\d", "9", s) for s in stripped if 3 < len(s) < 70)
         for s in stripped:
             out.append("blank" if not s else "page" if _PAGE.match(s) else "header" if _HEAD.match(s) or _NUMBERED.match(s) else "body")
         marks = [i for i, k in enumerate(out) if k in ("page", "header")]
         near = {i + d for i in marks for d in (-3, -2, -1, 1, 2, 3)} | {i + d for i, x in enumerate(lines) if x.startswith("\f") for d in (0, 1, 2)}
+        maybe = []
         for i, s in enumerate(stripped):
             if out[i] != "body" or len(s) >= 70:
                 continue
-            if s.isupper() and len(s.split()) >= 3 and re.sub(r"\d", "9", s) not in self.capitals and (i in near or masks[re.sub(r"\d", "9", s)] > 1):
-                out[i] = "header"
-            elif i in near and _suffix(s) in self.suffixes:
-                out[i] = "header"
-            elif i in near and masks[re.sub(r"\d", "9", s)] > 2 and not s.endswith((".", ",")) and s[:1].isupper():
+            mask = re.sub(r"\d", "9", s)
+            capital = mask if s.isupper() and len(s.split()) >= 3 and (i in near or masks[mask] > 1) else None
+            suffix = _suffix(s) if i in near else None
+            repeats = i in near and masks[mask] > 2 and not s.endswith((".", ",")) and s[:1].isupper()
+            if capital or suffix or repeats:
+                maybe.append((i, capital, suffix, repeats))
+        return out, maybe
+
+    def kinds(self, lines: list[str], more=()) -> list[str]:
+        """'page', 'header', 'blank' or 'body' of each line; more: what is known of this text's lines besides what is broadcast,
+        as asked() names it."""
+        out, maybe = self._sorted(lines)
+        for i, capital, suffix, repeats in maybe:
+            if capital and capital not in self.capitals and "u" + capital not in more or suffix in self.suffixes or suffix and "s" + suffix in more or repeats:
                 out[i] = "header"
         return out
 
+    def asked(self, lines: list[str]) -> set[str]:
+        """Kind and form of the lines that are not among those broadcast and may be known all the same."""
+        maybe = self._sorted(lines)[1]
+        return {"u" + c for _, c, _, _ in maybe if c and c not in self.capitals} | {"s" + x for _, _, x, _ in maybe if x and x not in self.suffixes}
+
     def cut(self, lines: list[str], kinds: list[str], i: int) -> tuple[str, str, str, bool] | None:
         """(whole, stem, rest, sure) of body line i if it ends with a word and a hyphen: the last word with its own hyphens, its
         last part, the first word of the next body line if it can go on there, and whether the sign is no true hyphen."""
@@ -208,11 +224,11 @@ def _scan(reader):
         r = Reader(*r)
         for batch in batches:
             rows = []
-            for tbl, rid, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for tbl, rid, text, more in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if not text or rid is None:
                     continue
                 lines = text.split("\n")
-                kinds = r.kinds(lines)
+                kinds = r.kinds(lines, more or ())
                 for i, line in enumerate(lines):
                     if kinds[i] in ("page", "header"):
                         rows.append((tbl, rid, i + 1, kinds[i], None, None, None, None))
@@ -230,6 +246,17 @@ def _scan(reader):
     return run
 
 
+def _asked(reader):
+    def run(batches):
+        r = Reader(*reader.value)
+        for batch in batches:
+            rows = [(tbl, rid, x) for tbl, rid, text in zip(*(batch.column(k).to_pylist() for k in range(3))) if text and rid is not None for x in r.asked(text.split("\n"))]
+            cols = list(zip(*rows)) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string()))], names=["tbl", "rec_id", "known"])
+
+    return run
+
+
 def tables(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/core_documents.parquet").select(F.lit("core_documents").alias("tbl"), F.col("id").alias("rec_id"), F.col("raw_content").alias("text"))
     chunks = spark.read.parquet(f"{sf}/core_chunks.parquet").select(F.lit("core_chunks").alias("tbl"), F.col("id").alias("rec_id"), F.col("chunk_text").alias("text"))
@@ -243,14 +270,22 @@ def marks(texts: DataFrame, work: Work) -> tuple[DataFrame, DataFrame]:
     words = counts.where("kind = 'w'")
     wrong = work.table(misreadings(words), "wrong")
 
-    def top(kind, least, most):
-        """The most frequent forms: at most `most` of them, the bound of what is broadcast."""
-        got = counts.where((F.col("kind") == kind) & (F.col("n") >= least)).orderBy(F.desc("n"), "form").limit(most)
-        return {r[0] for r in got.select("form").toLocalIterator()}
-
-    vocabulary = top("w", SUPPORT, VOCABULARY) - {r[0] for r in wrong.join(counts.where(f"kind = 'w' and n >= {SUPPORT}"), "form").select("form").distinct().orderBy("form").limit(VOCABULARY).toLocalIterator()}
-    reader = spark.sparkContext.broadcast((vocabulary, top("s", HEADS, KNOWN_LINES), top("u", CAPITALS, KNOWN_LINES)))
-    seen = work.table(texts.mapInArrow(_scan(reader), "tbl string, rec_id bigint, line_no int, kind string, form string, before string, after string, sure boolean"), "seen")
+    def top(forms, most):
+        """The most frequent forms: at most `most` of them, the bound of what is broadcast. The others are told by joins."""
+        return {r[0] for r in forms.orderBy(F.desc("n"), "form").limit(most).select("form").toLocalIterator()}
+
+    often = words.where(f"n >= {SUPPORT}").join(wrong.select("form").distinct(), "form", "left_anti")
+    heads, capitals = counts.where(f"kind = 's' and n >= {HEADS}"), counts.where(f"kind = 'u' and n >= {CAPITALS}")
+    reader = spark.sparkContext.broadcast((top(often, VOCABULARY), top(heads, KNOWN_LINES), top(capitals, KNOWN_LINES)))
+    texts = texts.select("tbl", "rec_id", "text")
+    if max(len(x) for x in reader.value[1:]) < KNOWN_LINES:  # all are broadcast
+        told = texts.withColumn("known", F.lit(None).cast("array<string>"))
+    else:
+        lines = heads.unionByName(capitals).select(F.concat("kind", "form").alias("known"))
+        known = texts.mapInArrow(_asked(reader), "tbl string, rec_id bigint, known string").join(lines, "known", "left_semi")
+        known = work.table(known.groupBy("tbl", "rec_id").agg(F.collect_set("known").alias("known")), "known")
+        told = texts.join(known, ["tbl", "rec_id"], "left").select("tbl", "rec_id", "text", "known")
+    seen = work.table(told.mapInArrow(_scan(reader), "tbl string, rec_id bigint, line_no int, kind string, form string, before string, after string, sure boolean"), "seen")
     bigrams = counts.where("kind = 'b'").select(F.col("form").alias("pair"), F.col("n").alias("pn"))
     suspects = seen.where("kind = 'word'").join(wrong, "form")
     beside = suspects.select("form", "meant", F.explode(F.array(F.concat_ws(" ", "before", "meant"), F.concat_ws(" ", "meant", "after"))).alias("pair")).distinct()

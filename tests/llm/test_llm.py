@@ -137,6 +137,25 @@ def test_p2_lines_and_repair(spark):
     assert fixed[("d", 2)] is None and fixed[("d", 3)] == "" and len(fixed) == 16
 
 
+def test_p2_more_known_lines_than_are_broadcast(spark, monkeypatch):
+    """Running heads and section headings beyond those broadcast are told by a join, with the same rows; so are words."""
+    names = ["Alpha Beta", "Gamma Delta", "Epsilon Zeta", "Eta Theta"]
+    rows = [("c", 9 * k + i, f"Some words of text\n{a}x {name}\n{i + 1}\nand more of these re-\n{b} {name}\nlated words") for k, name in enumerate(names) for i, (a, b) in enumerate(zip("ABCDEFGH", ["Ix", "Jx", "Kx", "Lx", "Mx", "Nx", "Ox", "Px"]))]
+    rows += [("d", i, f"Text of it\n{w} AND ITS USE IN ALL OF THIS\n{i + 1}\nNEVER SEEN TWICE {chr(65 + i) * 3}\nmore text here") for i, w in enumerate(["METHOD", "RESULT", "OUTLOOK"] * 7)]
+    df = spark.createDataFrame(rows, "tbl string, rec_id bigint, text string")
+    monkeypatch.setattr(p2_scans, "CAPITALS", 5)
+    got = []
+    for most in (200_000, 1):
+        monkeypatch.setattr(p2_scans, "KNOWN_LINES", most)
+        monkeypatch.setattr(p2_scans, "VOCABULARY", most)
+        kinds = p2_scans.marks(df, Work(spark, "t2k"))[0].collect()
+        got.append({tuple(r) for r in kinds})
+        assert len(kinds) == len(got[-1])
+    heads = {(t, i, n) for t, i, n, k in got[0] if k == "header"}
+    assert heads == {("c", 9 * k + i, n) for k in range(4) for i in range(8) for n in (2, 5)} | {("d", i, 4) for i in range(21)}
+    assert got[1] == got[0]
+
+
 def test_p2_explains_only_misreadings():
     assert p2_scans.explains("planner", "plariner") and p2_scans.explains("needs", "neecls") and p2_scans.explains("confidence", "conhdence")
     assert not p2_scans.explains("recovered", "ercovered") and not p2_scans.explains("planner", "planner")
