@@ -99,6 +99,23 @@ def test_p1_scattered_edits(spark):
     assert len(want) > 100 and sorted(got) == sorted((d, i, j) for d in "de" for i, j in want)
 
 
+def test_p1_lookup_leaves_few_pairs_to_check(spark):
+    """Texts made of the same sentences share much, but only near pairs (and a few by clashes of hashes) leave the lookup."""
+    r = random.Random(8)
+    sentences = [" ".join(r.choice(WORDS) for _ in range(12)) for _ in range(60)]
+    rows = [" ".join(r.sample(sentences, r.choice([6, 8, 10]))) for _ in range(250)]
+    rows += [t + " " + " ".join(r.choice(WORDS) for _ in range(k)) for t, k in zip(rows[:40], range(1, 41))]
+    rows += ["one two three four", "one two three four five", "one two three"]
+    work = Work(spark, "p1-lookup")
+    f = p1_neardup.featured(spark.createDataFrame([("t", i, t) for i, t in enumerate(rows)], "tbl string, id bigint, text string"), work)
+    ids = dict(f.select("cls", "id").collect())
+    own = f.select("cls", "grams")
+    met = p1_neardup.lookup(own, own, p1_neardup.order(p1_neardup.frequencies(own)), work, "t").distinct().collect()
+    got = {tuple(sorted((ids[x.a], ids[x.b]))) for x in met}
+    want = {(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows)) if near(rows[i], rows[j])}
+    assert len(want) >= 40 and want <= got and len(got) <= 1.2 * len(want)
+
+
 def test_p1_stock_passages(spark):
     """Texts that have only a standard paragraph in common stay apart, even short ones that consist mostly of it; copies with
     that paragraph, and short texts equal but for signs, are pairs."""
