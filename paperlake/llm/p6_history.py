@@ -43,6 +43,7 @@ BITS = 19  # of a bitmap: 64 KB
 BLOCK = 1 << 22  # sequences (16 MB) of the part of a batch that is looked up at once
 AT_ONCE = 8192  # rows of consecutive batches that are decided in one call, about: the order of rows decides, so nothing changes
 FEW = 1000  # so many cells are named to the reader; more are picked by a join
+COUNTERS = 1 << 18  # counters of hits at once: 4 MB
 MEET = 8  # sequences of a prefix that must be shared: more make longer prefixes with more hits, and fewer pairs to compare
 LAST = 2147483647
 CELL_SCHEMA = "cell bigint, cls array<bigint>, n array<int>, keys binary, at binary"
@@ -120,7 +121,7 @@ def _bits(keys: np.ndarray) -> np.ndarray:
 
 class Batch:
     """Vectors of a batch's texts (or a block of them), ready to be looked up: cls, n and need of each text, the sequences of
-    all, and which of them belong to a prefix. What is sent is that alone; each worker sorts it once."""
+    all, and which of them belong to a prefix. What is sent is that alone; each worker numbers its distinct sequences once."""
 
     def __init__(self, cls, n, row, keys, place):
         self.cls, self.n, self.need, self.keys = cls, n, needed(n, MEET), keys
@@ -134,73 +135,71 @@ class Batch:
         return np.concatenate([[0], np.cumsum(self.n)])
 
     @cached_property
-    def sorted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sequences in rising order, the text of each, and whether it is of the prefix."""
-        o = np.argsort(self.keys, kind="stable")
-        return self.keys[o], np.repeat(np.arange(len(self.n), dtype=np.int32), self.n)[o], self.prefix[o]
+    def row(self) -> np.ndarray:
+        """The text of each sequence."""
+        return np.repeat(np.arange(len(self.n), dtype=np.int32), self.n)
+
+    @cached_property
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct sequences in rising order, and the number of each sequence among them."""
+        one, number = np.unique(self.keys, return_inverse=True)
+        return one, number.astype(np.int32)
 
     def reachable(self, least: int, full: np.ndarray, rare: np.ndarray) -> bool:
         """Whether a cell with these bitmaps can hold a text near to one of these."""
-        keys, row, prefix = self.sorted
-        at = keys & ((1 << BITS) - 1)
-        large = np.bincount(row[prefix], full[at[prefix]], len(self.n)) >= self.need
-        return bool(large.any() or (np.bincount(row, rare[at], len(self.n)) >= least).any())
+        at = self.keys & ((1 << BITS) - 1)
+        large = np.bincount(self.row[self.prefix], full[at[self.prefix]], len(self.n)) >= self.need
+        return bool(large.any() or (np.bincount(self.row, rare[at], len(self.n)) >= least).any())
 
     def near(self, cls, n, keys, at):
         """Pairs (text of this, text of the cell) with enough hits and near in full; at: text of the cell and, in its
         highest bit, whether the sequence belongs to its prefix."""
-        rare, text = at >> 15 == 1, (at & 0x7FFF).astype(np.int32)
+        rare, text = at >> 15 == 1, at & 0x7FFF
         need = needed(n, MEET)
-        mine, row, prefix = self.sorted
-        large = self._found(mine[prefix], row[prefix], keys)
-        small = self._found(mine, row, keys[rare])
-        rare_text = text[rare]
         order = first = None
-        step = max(1, (1 << 23) // len(cls))  # counters at once
-        for lo in range(0, len(self.n), step):
-            hi = min(lo + step, len(self.n))
-            part = slice(lo, hi)
-            ok = (self._hits(*large, text, lo, hi, len(cls)) >= self.need[part, None]) & (n[None, :] >= self.n[part, None])
-            ok |= (self._hits(*small, rare_text, lo, hi, len(cls)) >= need[None, :]) & (n[None, :] < self.n[part, None])
-            i, j = np.nonzero(ok)
-            other = self.cls[i + lo] != cls[j]
-            if not other.any():
+        for larger, mine, theirs, here in ((True, self.prefix, keys, text), (False, None, keys[rare], text[rare])):
+            for i, j, hits in self._hits(mine, theirs, here, len(cls), int((self.need if larger else need).min(initial=MEET))):
+                ok = (hits >= (self.need[i] if larger else need[j])) & ((n[j] >= self.n[i]) == larger) & (self.cls[i] != cls[j])
+                if not ok.any():
+                    continue
+                if order is None:
+                    order = np.argsort(text, kind="stable")
+                    first = np.searchsorted(text[order], np.arange(len(cls) + 1))
+                for x, y in zip(i[ok], j[ok]):
+                    common = len(np.intersect1d(self.keys[self.start[x] : self.start[x + 1]], keys[order[first[y] : first[y + 1]]], True))
+                    if common * 10 >= min(self.n[x], n[y]) * 6:
+                        yield self.cls[x], cls[y]
+
+    def _hits(self, mine, keys, text, size, least):
+        """(text of this, text of the cell, hits) of the pairs that have at least least sequences in common, of all of this or
+        only those in the mask mine, and of the cell's keys (in rising order, text: the text of each). Counters are for so
+        few texts at once that they stay in the processor's cache."""
+        one, number = self.distinct
+        left = np.searchsorted(keys, one, "left").astype(np.int32)
+        m = np.searchsorted(keys, one, "right").astype(np.int32) - left
+        found = m[number] > 0
+        found = np.flatnonzero(found if mine is None else found & mine)
+        row, number = self.row[found], number[found]
+        step = max(1, COUNTERS // max(1, size))
+        cut = np.searchsorted(row, np.arange(0, len(self.n) + step, step))
+        for lo, begin, end in zip(range(0, len(self.n), step), cut, cut[1:]):
+            if begin == end:
                 continue
-            if order is None:
-                order = np.argsort(text, kind="stable")
-                first = np.searchsorted(text[order], np.arange(len(cls) + 1))
-            for x, y in zip(i[other] + lo, j[other]):
-                common = len(np.intersect1d(self.keys[self.start[x] : self.start[x + 1]], keys[order[first[y] : first[y + 1]]], True))
-                if common * 10 >= min(self.n[x], n[y]) * 6:
-                    yield self.cls[x], cls[y]
-
-    @staticmethod
-    def _found(mine, row, keys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of sequences in rising order those that keys has: the text of each, its first place in keys, and how often it stands there."""
-        new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
-        one = keys[new]
-        k = np.minimum(np.searchsorted(one, mine), max(0, len(one) - 1))
-        hit = np.flatnonzero(one[k] == mine) if len(one) else np.zeros(0, int)
-        k = k[hit]
-        return row[hit], new[k], np.diff(np.append(new, len(keys)))[k]
-
-    @staticmethod
-    def _hits(row, left, m, text, lo, hi, size) -> np.ndarray:
-        """How many of the found sequences of texts lo to hi each text of the cell has."""
-        if lo or hi <= row.max(initial=0):
-            part = np.flatnonzero((row >= lo) & (row < hi))
-            row, left, m = row[part] - lo, left[part], m[part]
-        out = np.zeros((hi - lo) * size, np.int32)
-        ends = np.cumsum(m)
-        k = 0
-        while k < len(m):  # in parts, so that many hits don't fill the memory
-            stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + 8_000_000, "right")))
-            w = m[k:stop]
-            j = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w - left[k:stop], w)
-            hits = np.bincount(np.repeat(row[k:stop].astype(np.int64) * size, w) + text[j], minlength=len(out))
-            out = out + hits if k else hits
-            k = stop
-        return out.reshape(hi - lo, size)
+            base = (row[begin:end] - lo).astype(np.int64) * size
+            w = m[number[begin:end]]
+            first = left[number[begin:end]]
+            ends = np.cumsum(w, dtype=np.int64)
+            out, k = None, 0
+            while k < len(w):  # in parts, so that many hits don't fill the memory
+                stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + 8_000_000, "right")))
+                part = w[k:stop]
+                j = np.arange(part.sum()) - np.repeat(ends[k:stop] - part - (ends[k - 1] if k else 0) - first[k:stop], part)
+                hits = np.bincount(np.repeat(base[k:stop], part) + text[j], minlength=step * size)
+                out = hits if out is None else out + hits
+                k = stop
+            at = np.flatnonzero(out >= least)
+            if len(at):
+                yield at // size + lo, at % size, out[at]
 
 
 def cells(texts: DataFrame, levels: np.ndarray) -> DataFrame:
@@ -273,7 +272,7 @@ class History:
         f = prepared(rows.select("id", *ROWS), "id", work, "rows")
         n = f.count()
         self.spark.createDataFrame([(max(1, -(-3 * n // BUCKET)),)], "buckets int").write.parquet(f"{self.path}/size")
-        frequencies(f).write.parquet(f"{self.path}/order")
+        frequencies(f, n).write.parquet(f"{self.path}/order")
         texts = once(f.where("cls is not null").select("cls", "grams", "row"), "cls", work, "cls").select("cls", "grams")
         self._append(texts, self._ties(f))
         work.drop("rows")

@@ -366,6 +366,13 @@ def test_p6_scattered_edits_and_texts_inside_longer_ones(spark):
     assert {tuple(x) for x in got.collect()} == want
 
 
+def test_p6_order_of_large_tables(spark):
+    """Sequences of over a thousand texts are still told apart, and those of two texts from those of one."""
+    f = spark.range(60_000).select(F.expr("array_compact(array(1, if(id % 40 = 0, 2, null), if(id % 400 = 0, 3, null), if(id < 2, 4, null), if(id < 1, 5, null)))").alias("grams"))
+    levels = p6_history.order(p6_history.frequencies(f)).astype(int)
+    assert levels[1] > levels[2] > levels[3] > levels[4] > levels[5] == levels[6] == 0
+
+
 def test_p6_history_of_short_and_scattered_texts(spark, tmp_path):
     core, cand = p6_rows(scattered(range(3, 32), 13) + scattered([32, 63], 14, 20, inside=100) + scattered([90], 15, 10))
     cand += [(2000 + i, "x", f"{i}", None, x) for i, x in enumerate(scattered(range(3, 32), 16, 20))]
