@@ -133,6 +133,45 @@ def test_p1_stock_passages(spark):
     assert got == copies and copies < near_pairs and len(near_pairs) > 300
 
 
+def test_p1_replaced_passages(spark):
+    """Texts of which a third of the sentences was replaced share only some passages, though 0.6 of their sequences; so do texts
+    that have one paragraph in common. Edited and reordered copies and texts within longer ones are pairs."""
+    r = random.Random(41)
+    sentence = lambda: " ".join(r.choice(WORDS) for _ in range(12)) + "."
+    t, want, apart = [], set(), set()
+    for _ in range(12):
+        s = [sentence() for _ in range(9)]
+        replaced = [sentence() if k in (1, 4, 7) else x for k, x in enumerate(s)]
+        edited = [x.replace(" ", f" e{k} ", 1) if k % 2 else x for k, x in enumerate(s)]
+        typed = " ".join(f"x{k}" if k % 8 == 5 else w for k, w in enumerate(" ".join(s).split()))
+        longer = [sentence() for _ in range(6)] + s
+        i = len(t)
+        t += [" ".join(x) for x in (s, replaced, edited, s[5:] + s[:5], longer)] + [typed]
+        want |= {(i + a, i + b) for a, b in ((0, 2), (0, 3), (0, 4), (0, 5), (2, 3), (2, 4), (3, 4), (3, 5), (4, 5))}
+        apart |= {(i, i + 1)}
+        p = [sentence() for _ in range(4)]
+        apart |= {(len(t), len(t) + 1)}
+        t += [" ".join(p + [sentence()]), " ".join([sentence(), sentence()] + p)]
+    df = spark.createDataFrame([("d", i, x) for i, x in enumerate(t)] + [("d", 0, t[0]), ("e", 0, t[1])], "tbl string, id bigint, text string")
+    got = {(x.id_a, x.id_b) for x in p1_neardup.found(spark, df).collect()}
+    assert all(near(t[i], t[j]) for i, j in want | apart)
+    assert want <= got and not apart & got
+
+
+def test_p1_some_passages_not_single_edits():
+    """Of near texts with words edited one by one hardly any look as if passages were replaced."""
+    r = random.Random(43)
+    pairs = told = 0
+    for _ in range(2000):
+        w = [f"v{r.randrange(3000)}" for _ in range(r.choice([32, 50, 90]))]
+        e = [f"e{r.randrange(3000)}" if r.random() < 0.13 else x for x in w]
+        a, b = " ".join(w), " ".join(e)
+        pairs += near(a, b)
+        told += near(a, b) and p1_neardup.some_passages(a, b)
+    assert pairs > 1000 and told <= 0.005 * pairs
+    assert not p1_neardup.some_passages("", "") and not p1_neardup.some_passages("one two three", "one two three")
+
+
 def test_p1_star_of_many_copies(spark):
     df = spark.createDataFrame([("d", i, "the same five words here") for i in range(100)], "tbl string, id bigint, text string")
     got = {tuple(r) for r in p1_neardup.found(spark, df).select("id_a", "id_b").collect()}
